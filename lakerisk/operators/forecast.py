@@ -9,18 +9,21 @@ from lakerisk.functions.text import clamp, from_epoch
 DAY = 86_400
 
 
-def ols_by_key(events: DataFrame, key: str, ts: str, y: str, tie: str = "event_id") -> DataFrame:
+def ols_by_key(events: DataFrame, key: str, ts: str, y: str, newest_by: str | None = "event_id") -> DataFrame:
     """Least-squares line of ``y`` over time in days, per key, in one aggregation.
 
-    All observations at one instant give slope 0 through the mean.
+    All observations at one instant give slope 0 through the mean. last_y is the
+    newest observation, equal times settled by ``newest_by``; with None it is
+    left out, and the aggregation needs no sort.
     """
     x = F.unix_timestamp(ts) / F.lit(float(DAY))
-    rows = events.select(key, x.alias("_x"), F.col(y).cast("double").alias("_y"), F.col(ts).alias("_t"), F.col(tie).alias("_tie"))
+    rows = events.select(key, x.alias("_x"), F.col(y).cast("double").alias("_y"), F.col(ts).alias("_t"), F.col(newest_by or key).alias("_tie"))
     rows = rows.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    newest = [F.max_by("_y", F.struct("_t", "_tie")).alias("last_y")] if newest_by else []
     fitted = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
         F.max("_t").alias("last_ts"),
-        F.max_by("_y", F.struct("_t", "_tie")).alias("last_y"),
+        *newest,
         F.max("_y").alias("max_y"),
         F.avg("_y").alias("avg_y"),
         F.var_pop("_x").alias("_var"),
@@ -47,13 +50,20 @@ def forecast(
     threshold: float = 0.5,
     score_col: str = "risk_score_saat_itu",
     per_second: bool = False,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Score expected ``horizon_days`` after a unit's last event.
 
+    The current score comes from ``latest`` (id_wilayah, risk_score; one row per
+    unit) when that snapshot exists, else from the history.
+
     The trend compares the daily slope with ``threshold``; ``per_second``
     compares the slope per second instead.
     """
-    fitted = having_min_events(ols_by_key(history, "id_wilayah", "recorded_at", score_col))
+    newest_by = "event_id" if latest is None else None
+    fitted = having_min_events(ols_by_key(history, "id_wilayah", "recorded_at", score_col, newest_by))
+    if latest is not None:
+        fitted = fitted.join(latest.select("id_wilayah", F.col("risk_score").alias("last_y")), "id_wilayah", "left")
     at = F.unix_timestamp("last_ts") + F.lit(horizon_days * DAY)
     raw = F.col("intercept") + F.col("slope") * at / F.lit(float(DAY))
     slope = F.col("slope") / F.lit(float(DAY)) if per_second else F.col("slope")

@@ -53,6 +53,17 @@ def normalize_geometry(df: DataFrame, geom_col: str = "geometry_wkt", area_col:
     return bounded.withColumns({"geometry": geometry, "geometry_error": error}).drop("geo_type")
 
 
+def unit_map(units: DataFrame, cell_deg: float = 0.05) -> DataFrame:
+    """Units with normalized geometry, neighbours stored together.
+
+    Range-sorted by grid cell, so that a viewport touches few files and the
+    row groups of the rest are skipped by their minx..maxy statistics.
+    """
+    located = normalize_geometry(units)
+    cell = [F.floor(F.col(c) / F.lit(cell_deg)) for c in ("minx", "miny")]
+    return located.orderBy(*cell, "id_wilayah")
+
+
 def bbox_filter(df: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
     """Rows whose stored bounds meet the viewport; swapped corners are put in order.
 

@@ -32,7 +32,10 @@ def lookup_left(
     Each lookup row is repeated ``spread`` times and each row picks one copy by
     the hash of ``salt_from``, so the rows of a hot key go to ``spread`` tasks.
     The salt is a hash, never random, so a re-run task makes the same choice.
+    ``spread=1`` is a plain join, for rows whose keys hardly repeat.
     """
+    if spread == 1 and not null_safe:
+        return rows.join(lookup, list(keys), "left")
     right = lookup.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[c for c in lookup.columns if c not in keys],

@@ -146,9 +146,13 @@ def model_metrics(metrics: DataFrame, latest_only: bool = True) -> DataFrame:
 
 
 def map_rows(units: DataFrame, gold: DataFrame) -> DataFrame:
-    """Every unit with a usable geometry and its risk figures, 'Belum Didata' when never surveyed."""
+    """Every unit with a usable geometry and its risk figures, 'Belum Didata' when never surveyed.
+
+    Units that already carry their bounds are taken as they are.
+    """
     known = [c for c in GOLD_PROPERTIES if c in gold.columns]
-    located = normalize_geometry(units).filter(F.col("minx").isNotNull())
+    located = units if "minx" in units.columns else normalize_geometry(units)
+    located = located.filter(F.col("minx").isNotNull())
     joined = located.join(gold.select("id_wilayah", F.lit(True).alias("_found"), *known), "id_wilayah", "left")
     defaults = {"risk_level": V.NOT_SURVEYED, "top_faktor_1": "", "top_faktor_2": "", "top_faktor_3": "", "cluster_label": ""}
     filled = {

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from lakerisk import schemas
 from lakerisk import vocabulary as V
 from lakerisk.operators import history as h, ml, serving
+from lakerisk.operators.geo import bbox_filter
 from lakerisk.plans import domain as D
 from lakerisk.plans import medallion as M
 from lakerisk.plans.catalog.areas import _GOLD_COLS, _GOLD_NAMES, _MATRIX, _MATRIX_DOUBLES
+from lakerisk.plans.catalog.geo import _VIEW_SQL, VIEW
 from lakerisk.plans.catalog.history import _MIDDLE_TS
 from lakerisk.plans.catalog.registry import gold, latest, pick, query, rounded
 from lakerisk.session import scratch_path
@@ -198,6 +200,14 @@ def silver_incremental_features(spark, d):
     return _features(spark, grown_lake(spark, d))
 
 
+@query("map_stored", f"SELECT id_wilayah, coalesce(g.risk_level, 'Belum Didata') AS risk_level FROM bounds b LEFT JOIN gold g USING (id_wilayah) WHERE {_VIEW_SQL}")
+def map_stored(spark, d):
+    """Viewport over the stored unit map: the bounds filter reaches the scan."""
+    lake = gold_lake(spark, d)
+    seen = bbox_filter(_read(spark, lake, M.UNIT_MAP), *VIEW)
+    return serving.map_rows(seen, _read(spark, lake, M.RISK)).select("id_wilayah", "risk_level")
+
+
 _GOLD_SQL = f"SELECT {_GOLD_COLS}, prioritas_rank FROM ranked"
 
 

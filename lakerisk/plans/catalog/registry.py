@@ -50,7 +50,8 @@ def latest(spark: SparkSession, d: str) -> DataFrame:
 
 def gold(spark: SparkSession, d: str) -> DataFrame:
     """Per-unit gold columns with the rule prediction."""
-    return M.gold_units(latest(spark, d), D.units(spark, d))
+    units = D.units(spark, d)
+    return M.gold_units(M.latest_with_place(D.survey(spark, d), units), units)
 
 
 def ranked(spark: SparkSession, d: str) -> DataFrame:

@@ -5,16 +5,17 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakerisk import schemas
 from lakerisk import vocabulary as V
-from lakerisk.operators import features, forecast, history, ml, ranking, scoring
-from lakerisk.operators.joins import scope_by_area, scope_by_keys
+from lakerisk.operators import features, forecast, geo, history, ml, ranking, scoring
+from lakerisk.operators.joins import register_units, scope_by_area, scope_by_keys
 from lakerisk.operators.upsert import upsert
-from lakerisk.session import scratch_path
 from lakerisk.sources import tables
 
 AREA_PARTITION = ("kelurahan",)
+UNIT_ORDER = ("id_wilayah", "recorded_at")
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,7 @@ class Lakehouse:
 
 SURVEY, UNITS, SECONDARY = "bronze/survey_events", "bronze/master_wilayah", "bronze/secondary_sources"
 HISTORY, LATEST, FEATURES = "silver/event_history", "silver/latest_indicators", "silver/feature_matrix"
+UNIT_MAP = "silver/unit_map"
 GROUND_TRUTH, POPULATION, METRICS = "silver/ground_truth", "silver/population", "silver/model_metrics"
 RISK, PREDICTION, TREND = "gold/slum_risk_score", "gold/slum_prediction", "gold/slum_trend"
 FACTORS, PRIORITY = "gold/dominant_factors", "gold/intervention_priority"
@@ -70,14 +72,43 @@ def _units(spark: SparkSession, lake: Lakehouse) -> DataFrame | None:
     return _read(spark, lake, UNITS) if _exists(spark, lake, UNITS) else None
 
 
+def register(spark: SparkSession, lake: Lakehouse, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Add new units to the registry and its map; returns (already registered, bad geometry).
+
+    Units with a geometry text that is not a usable GeoJSON are turned away;
+    units without one are registered and stay off the map.
+    """
+    offered = tables.staged(spark, geo.normalize_geometry(incoming), "offered")
+    bad = F.col("geometry_error").isNotNull() & (F.col("geometry_error") != "missing")
+    usable = offered.filter(~F.coalesce(bad, F.lit(False)))
+    known = tables.read_optional(spark, lake.path(UNITS), T.StructType([incoming.schema["id_wilayah"]]))
+    new, again = register_units(known, usable)
+    new, again = tables.staged(spark, new, "new"), tables.staged(spark, again, "again")
+    tables.append_table(new, lake.path(UNIT_MAP))
+    tables.append_table(new.select(*incoming.columns).withColumn("created_at", F.current_timestamp()), lake.path(UNITS))
+    return again.select(*incoming.columns), offered.filter(bad).select(*incoming.columns, "geometry_error")
+
+
 def event_history(events: DataFrame, units: DataFrame | None) -> DataFrame:
     """Deduplicated log with place names and the score at the time of each event."""
     return scoring.score_and_level(features.enrich_events(history.dedup_events(events), units), "_saat_itu")
 
 
 def latest_with_place(events: DataFrame, units: DataFrame | None) -> DataFrame:
-    """Latest snapshot; the log is reduced to one row per unit before the registry is joined."""
-    return features.enrich_events(history.latest_indicators(events), units)
+    """Latest snapshot from the raw log, reduced to one row per unit before the registry is joined."""
+    return with_geometry(features.enrich_events(history.latest_indicators(events), units, spread=1), units)
+
+
+def latest_of_history(past: DataFrame, units: DataFrame | None) -> DataFrame:
+    """Latest snapshot from the scored history."""
+    renamed = {"risk_score_saat_itu": "risk_score", "risk_level_saat_itu": "risk_level"}
+    return with_geometry(history.latest_per_key(past).withColumnsRenamed(renamed), units)
+
+
+def with_geometry(latest: DataFrame, units: DataFrame | None) -> DataFrame:
+    if units is None or "geometry_wkt" not in units.columns:
+        return latest
+    return latest.join(units.select("id_wilayah", "geometry_wkt"), "id_wilayah", "left")
 
 
 def refresh_ground_truth(spark: SparkSession, lake: Lakehouse, keys: DataFrame | None = None) -> None:
@@ -101,29 +132,27 @@ def bronze_to_silver(
     incremental = keys is not None and _exists(spark, lake, HISTORY, LATEST, FEATURES)
     scope = keys if incremental else None
     units = _units(spark, lake)
-    events = scope_by_keys(_read(spark, lake, SURVEY).drop("ingest_batch"), scope)
-    past, latest = event_history(events, units), latest_with_place(events, units)
+    past = event_history(scope_by_keys(_read(spark, lake, SURVEY).drop("ingest_batch"), scope), units)
 
     if not incremental:
-        tables.write_table(past, lake.path(HISTORY), AREA_PARTITION)
-        tables.write_table(latest, lake.path(LATEST), AREA_PARTITION)
+        tables.write_table(past, lake.path(HISTORY), AREA_PARTITION, UNIT_ORDER)
+        latest = latest_of_history(_read(spark, lake, HISTORY), units)
+        tables.write_table(latest, lake.path(LATEST), AREA_PARTITION, UNIT_ORDER)
         tables.write_table(features.feature_matrix(_read(spark, lake, LATEST)), lake.path(FEATURES))
         if units is not None:
             tables.write_table(features.population(units), lake.path(POPULATION))
+            geo.unit_map(units).write.mode("overwrite").parquet(lake.path(UNIT_MAP))
         refresh_ground_truth(spark, lake)
         return
 
-    # A unit's rows leave the NULL area when it is registered and never move again.
-    tables.merge_table(
-        spark, lake.path(HISTORY), past, ["event_id"], AREA_PARTITION, update_matches=False, keys_move=False
-    )
+    past = tables.staged(spark, past, "history")
+    latest = tables.staged(spark, latest_of_history(past, units), "latest")
     before = scope_by_keys(_read(spark, lake, LATEST), scope).select(*V.AREA_KEYS)
-    areas = scratch_path(spark, "areas")
-    before.unionByName(latest.select(*V.AREA_KEYS)).distinct().write.parquet(areas)
-    tables.merge_table(
-        spark, lake.path(LATEST), latest, ["id_wilayah"], AREA_PARTITION, unique_source=True, keys_move=False
-    )
-    touched = spark.read.parquet(areas)
+    touched = tables.staged(spark, before.unionByName(latest.select(*V.AREA_KEYS)).distinct(), "areas")
+    # A unit's rows leave the NULL area when it is registered and never move again.
+    where = {"partition_cols": AREA_PARTITION, "sort_cols": UNIT_ORDER, "keys_move": False}
+    tables.merge_table(spark, lake.path(HISTORY), past, ["event_id"], update_matches=False, **where)
+    tables.merge_table(spark, lake.path(LATEST), latest, ["id_wilayah"], unique_source=True, **where)
     matrix = features.feature_matrix(scope_by_area(_read(spark, lake, LATEST), touched))
     tables.merge_table(spark, lake.path(FEATURES), matrix, list(V.AREA_KEYS), null_safe=True, unique_source=True)
     if labels_changed:
@@ -203,14 +232,12 @@ def silver_to_gold(
         stored = _read(spark, lake, RISK).drop("prioritas_rank", "cluster_id", "cluster_rank", "cluster_label")
         fresh = upsert(stored, fresh, ["id_wilayah"])
     # Written once and read by every step below: ranking and the gold tables.
-    staging = scratch_path(spark, "gold_units")
-    fresh.write.parquet(staging)
-    base = spark.read.schema(fresh.schema).parquet(staging)
+    base = tables.staged(spark, fresh, "gold_units")
 
     clustered = ml.fit_kmeans(latest, k)
     assignment = ml.label_clusters(clustered[1]) if clustered else None
     ranked = ranking.priority_rank(ml.attach_clusters(base, assignment))
-    tables.write_table(ranked, lake.path(RISK), AREA_PARTITION)
+    tables.write_table(ranked, lake.path(RISK), AREA_PARTITION, UNIT_ORDER)
     gold = _read(spark, lake, RISK)
 
     tables.write_table(
@@ -222,7 +249,7 @@ def silver_to_gold(
         tables.write_table(ml.cluster_summary(clustered[1]), lake.path(CLUSTERS))
 
     past = scope_by_keys(_read(spark, lake, HISTORY), scope)
-    for name, rows in ((TREND, history.trend(past)), (FORECAST, forecast.forecast(past))):
+    for name, rows in ((TREND, history.trend(past)), (FORECAST, forecast.forecast(past, latest=latest))):
         if incremental:
             tables.merge_table(spark, lake.path(name), rows, ["id_wilayah"], unique_source=True)
         else:

@@ -53,22 +53,30 @@ def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
 
 
-def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Replace the table, partitioned by those of the columns that exist."""
-    cols = present(df, partition_cols)
-    writer = _balanced(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*cols) if cols else writer).parquet(path)
+def _write(df: DataFrame, path: str, partition_cols: Sequence[str], sort_cols: Sequence[str], mode: str) -> None:
+    rows = _balanced(df, partition_cols)
+    if sort_cols:
+        rows = rows.sortWithinPartitions(*partition_cols, *sort_cols)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
 
-def _replace_from_staging(spark: SparkSession, df: DataFrame, path: str, partition_cols: Sequence[str], mode: str) -> None:
-    """Write ``df``, which reads ``path``, to scratch first and then over ``path``."""
-    staging = scratch_path(spark, "staging")
-    cols = present(df, partition_cols)
-    writer = _balanced(df, cols).write
-    (writer.partitionBy(*cols) if cols else writer).parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging).select(*df.columns)
-    out = staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    (out.partitionBy(*cols) if cols else out).parquet(path)
+def write_table(
+    df: DataFrame, path: str, partition_cols: Sequence[str] = (), sort_cols: Sequence[str] = ()
+) -> None:
+    """Replace the table, partitioned by those of the columns that exist.
+
+    Files sorted by a column that queries filter on let the scan skip row groups.
+    """
+    _write(df, path, present(df, partition_cols), present(df, sort_cols), "static")
+
+
+def staged(spark: SparkSession, df: DataFrame, name: str = "staged") -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once
+    however often it is used, and safe from lost executors."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 MAX_PRUNED = 1000
@@ -94,6 +102,7 @@ def merge_table(
     null_safe: bool = False,
     unique_source: bool = False,
     keys_move: bool = True,
+    sort_cols: Sequence[str] = (),
 ) -> None:
     """Upsert ``source`` into the table at ``path``, creating it if needed.
 
@@ -104,12 +113,13 @@ def merge_table(
     are not searched.
     """
     if not table_exists(spark, path):
-        write_table(source, path, partition_cols)
+        write_table(source, path, partition_cols, sort_cols)
         return
+    source = staged(spark, source, "source")
     if source.isEmpty():
         return
     target = read_table(spark, path)
-    cols = present(target, partition_cols)
+    cols, order = present(target, partition_cols), present(target, sort_cols)
     # Partition values come back with a guessed type.
     target = target.withColumns({c: F.col(c).cast(source.schema[c].dataType) for c in cols if c in source.columns})
     if update_matches and not unique_source:
@@ -128,19 +138,20 @@ def merge_table(
         searched = target if keys_move or not cols else _in_partitions(target, touched, cols)
         aligned = align_schema(source, target.schema)
         new_rows = _balanced(match_rows(aligned, searched, keys, "left_anti", null_safe), cols)
-        writer = new_rows.write.mode("append")
+        writer = (new_rows.sortWithinPartitions(*cols, *order) if order else new_rows).write.mode("append")
         (writer.partitionBy(*cols) if cols else writer).parquet(path)
         return
+    # The result reads the table it replaces, so it is staged first.
     if not cols:
-        _replace_from_staging(spark, upsert(target, source, keys, True, null_safe), path, (), "static")
+        _write(staged(spark, upsert(target, source, keys, True, null_safe)), path, (), order, "static")
         return
-    merged = upsert(_in_partitions(target, touched, cols), source, keys, True, null_safe)
+    merged = staged(spark, upsert(_in_partitions(target, touched, cols), source, keys, True, null_safe))
     # A partition that lost its last row has nothing to overwrite it with.
     occupied = match_rows(target.select(*cols).distinct(), touched, cols, "left_semi", null_safe=True)
     if match_rows(occupied, merged.select(*cols).distinct(), cols, "left_anti", null_safe=True).isEmpty():
-        _replace_from_staging(spark, merged, path, cols, "dynamic")
+        _write(merged, path, cols, order, "dynamic")
     else:
-        _replace_from_staging(spark, upsert(target, source, keys, True, null_safe), path, cols, "static")
+        _write(staged(spark, upsert(target, source, keys, True, null_safe)), path, cols, order, "static")
 
 
 def with_ingest_time(df: DataFrame, name: str = "ingested_at") -> DataFrame:
