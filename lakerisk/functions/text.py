@@ -90,7 +90,9 @@ def fmt_score(col: Column) -> Column:
 
 def fmt_pct(col: Column) -> Column:
     """0.734 -> '73.4%', NULL -> ''"""
-    return F.coalesce(F.concat(F.format_string("%.1f", col.cast("double") * 100.0), F.lit("%")), F.lit(""))
+    # format_string() would print a NULL.
+    shown = F.concat(F.format_string("%.1f", col.cast("double") * 100.0), F.lit("%"))
+    return F.when(col.isNotNull(), shown).otherwise(F.lit(""))
 
 
 def fmt_ts(col: Column) -> Column:

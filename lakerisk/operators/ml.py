@@ -221,7 +221,7 @@ def kmeans_pipeline(k: int = 4, cols: Sequence[str] = V.INDICATORS, scaled: bool
 
 
 def kmeans_input(latest: DataFrame, cols: Sequence[str] = V.INDICATORS) -> DataFrame:
-    return risk_score(fill_features(latest.select("id_wilayah", *V.AREA_KEYS, *present(latest, cols)), cols), cols)
+    return risk_score(fill_features(latest.select("id_wilayah", *present(latest, (*V.AREA_KEYS, *cols))), cols), cols)
 
 
 def fit_kmeans(latest: DataFrame, k: int = 4) -> tuple[PipelineModel, DataFrame] | None:
@@ -254,7 +254,7 @@ def label_stats(stats: DataFrame, labels: Sequence[str] = V.CLUSTER_LABELS) -> D
 def label_clusters(assigned: DataFrame, labels: Sequence[str] = V.CLUSTER_LABELS) -> DataFrame:
     """Cluster of each unit with its label. The broadcast side has k rows."""
     named = label_stats(cluster_stats(assigned), labels).select("cluster_id", "cluster_rank", "cluster_label")
-    return assigned.select("id_wilayah", *V.AREA_KEYS, "cluster_id").join(F.broadcast(named), "cluster_id", "left")
+    return assigned.select("id_wilayah", *present(assigned, V.AREA_KEYS), "cluster_id").join(F.broadcast(named), "cluster_id", "left")
 
 
 def cluster_summary(assigned: DataFrame, cols: Sequence[str] = V.INDICATORS) -> DataFrame:

@@ -8,6 +8,8 @@ from lakerisk.plans import domain as D
 from lakerisk.plans import medallion as M
 from lakerisk.plans.catalog.registry import gold, latest, pick, query, ranked, rounded
 from lakerisk.plans.catalog.rows import recent_keys
+from lakerisk.operators.quality import union_aligned
+from lakerisk.session import scratch_path
 from lakerisk.sources.files import read_secondary_csv
 
 _MATRIX = (
@@ -60,9 +62,6 @@ def hierarchy_rollup(spark, d):
 
 def secondary_files(spark, d):
     """The four secondary sources written as CSV and read back through the CSV reader."""
-    from lakerisk.operators.quality import union_aligned
-    from lakerisk.session import scratch_path
-
     parts = []
     for kind in V.SECONDARY_TYPES:
         path = scratch_path(spark, kind)
@@ -214,3 +213,69 @@ def classification_metrics(spark, d):
 @query("avg_risk", "SELECT round(avg(coalesce(risk_score, 0)), 6) AS avg_risk_score FROM gold")
 def avg_risk(spark, d):
     return rounded(serving.avg_risk(gold(spark, d)), "avg_risk_score")
+
+
+# Clusters given by the data, so that labelling and counting have a SQL form.
+_BANDED = "SELECT g.*, cast(6 - floor(risk_score/15e0) AS int) AS cluster_id FROM gold g"
+_NAMED = (
+    "SELECT cluster_id, avg_risk_score, jumlah_wilayah, cast(rn AS int) AS cluster_rank, "
+    "CASE WHEN rn = 1 THEN 'Cluster Risiko Rendah' WHEN rn = 2 THEN 'Cluster Risiko Sedang' WHEN rn = 3 THEN 'Cluster Risiko Tinggi' "
+    "ELSE 'Cluster Risiko Sangat Tinggi' END AS cluster_label FROM (SELECT *, row_number() OVER (ORDER BY avg_risk_score, cluster_id) AS rn "
+    f"FROM (SELECT cluster_id, avg(risk_score) AS avg_risk_score, count(*) AS jumlah_wilayah FROM ({_BANDED}) b GROUP BY cluster_id) s) r"
+)
+
+
+def banded(spark, d):
+    return gold(spark, d).withColumn("cluster_id", (6 - F.floor(F.col("risk_score") / 15.0)).cast("int"))
+
+
+@query(
+    "cluster_stats",
+    f"SELECT cluster_id, round(avg_risk_score, 6) AS avg_risk_score, jumlah_wilayah, cluster_rank, cluster_label FROM ({_NAMED}) n",
+)
+def cluster_stats(spark, d):
+    return rounded(ml.label_stats(ml.cluster_stats(banded(spark, d))), "avg_risk_score")
+
+
+@query(
+    "cluster_labels",
+    f"SELECT b.id_wilayah, b.kelurahan, b.kecamatan, cluster_id, cluster_rank, cluster_label FROM ({_BANDED}) b JOIN ({_NAMED}) n USING (cluster_id)",
+)
+def cluster_labels(spark, d):
+    return ml.label_clusters(banded(spark, d))
+
+
+@query(
+    "cluster_distribution",
+    f"SELECT cluster_label, count(*) AS n_units FROM ({_BANDED}) b JOIN ({_NAMED}) n USING (cluster_id) GROUP BY cluster_label",
+)
+def cluster_distribution(spark, d):
+    named = ml.label_clusters(banded(spark, d))
+    return serving.cluster_distribution(ml.attach_clusters(gold(spark, d), named))
+
+
+@query(
+    "cluster_filtered",
+    f"SELECT b.id_wilayah, n.cluster_id, n.cluster_label, b.risk_level FROM ({_BANDED}) b JOIN ({_NAMED}) n USING (cluster_id) "
+    "WHERE cluster_id = 3 AND kecamatan = 'ASIA'",
+)
+def cluster_filtered(spark, d):
+    named = ml.label_clusters(banded(spark, d))
+    rows = serving.cluster_assignment(ml.attach_clusters(gold(spark, d), named), cluster_id=3, kecamatan="ASIA")
+    return rows.select("id_wilayah", "cluster_id", "cluster_label", "risk_level")
+
+
+@query(
+    "cluster_centroids",
+    "SELECT cluster_id, "
+    + ", ".join(f"round(avg(coalesce({n}, 0)), 6) AS centroid_{n}" for n in V.INDICATORS)
+    + " FROM (SELECT l.*, cast(6 - floor(risk_score/15e0) AS int) AS cluster_id FROM latest l) b GROUP BY cluster_id",
+)
+def cluster_centroids(spark, d):
+    """Centroids of the given clusters in original units, by the summary operator."""
+    rows = ml.kmeans_input(latest(spark, d))
+    given = ml.feature_stage(V.INDICATORS).transform(rows).withColumn(
+        "cluster_id", (6 - F.floor(F.col("risk_score") / 15.0)).cast("int")
+    )
+    names = [f"centroid_{n}" for n in V.INDICATORS]
+    return pick(ml.cluster_summary(given), ["cluster_id", *names], *names)

@@ -2,12 +2,15 @@
 
 from functools import lru_cache
 
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk import schemas
 from lakerisk import vocabulary as V
 from lakerisk.operators import history as h, ml, serving
+from lakerisk.operators.features import training_set
 from lakerisk.operators.geo import bbox_filter
 from lakerisk.plans import domain as D
 from lakerisk.plans import medallion as M
@@ -258,8 +261,6 @@ def trained(spark, d):
 
 
 def _labelled(spark, d):
-    from lakerisk.operators.features import training_set
-
     return training_set(latest(spark, d), h.latest_ground_truth(D.ground_truth(spark, d)))
 
 
@@ -319,22 +320,19 @@ def kmeans_covers_units(spark, d):
     return clustered.select("id_wilayah", "kelurahan")
 
 
-@query("cluster_distribution")
-def cluster_distribution(spark, d):
+@query("kmeans_distribution")
+def kmeans_distribution(spark, d):
     return serving.cluster_distribution(_read(spark, gold_lake(spark, d), M.RISK))
 
 
-@query("cluster_filtered")
-def cluster_filtered(spark, d):
+@query("kmeans_filtered")
+def kmeans_filtered(spark, d):
     return serving.cluster_assignment(_read(spark, gold_lake(spark, d), M.RISK), cluster_id=0, kecamatan="ASIA")
 
 
 @query("embedding_clusters")
 def embedding_clusters(spark, d):
     """The same clustering pipeline shape on the 64-dimensional vectors."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
     vectors = D.table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = KMeans(k=4, seed=ml.SEED, maxIter=20, predictionCol="cluster_id").fit(vectors)
     return model.transform(vectors).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_vectors"))

@@ -65,7 +65,7 @@ def _exists(spark: SparkSession, lake: Lakehouse, *names: str) -> bool:
 
 
 def _read(spark: SparkSession, lake: Lakehouse, name: str) -> DataFrame:
-    return tables.read_table(spark, lake.path(name))
+    return tables.read_table(spark, lake.path(name), text=AREA_PARTITION)
 
 
 def _units(spark: SparkSession, lake: Lakehouse) -> DataFrame | None:

@@ -16,13 +16,25 @@ from lakerisk.session import scratch_path
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, merge_schema: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    merge_schema: bool = False,
+    text: Sequence[str] = (),
 ) -> DataFrame:
     """Table scan. With a schema no footer is read for planning; ``merge_schema``
-    unites the schemas of all appended files, which reads every footer."""
+    unites the schemas of all appended files, which reads every footer.
+
+    ``text`` names partition columns to read as the strings they are, where
+    Spark would guess a type from their values.
+    """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    guessed = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    if all(isinstance(f.dataType, T.StringType) for f in guessed.schema if f.name in text):
+        return guessed
+    exact = [T.StructField(f.name, T.StringType()) if f.name in text else f for f in guessed.schema]
+    return spark.read.schema(T.StructType(exact)).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -118,10 +130,9 @@ def merge_table(
     source = staged(spark, source, "source")
     if source.isEmpty():
         return
-    target = read_table(spark, path)
+    text = [c for c in partition_cols if c in source.columns and isinstance(source.schema[c].dataType, T.StringType)]
+    target = read_table(spark, path, text=text)
     cols, order = present(target, partition_cols), present(target, sort_cols)
-    # Partition values come back with a guessed type.
-    target = target.withColumns({c: F.col(c).cast(source.schema[c].dataType) for c in cols if c in source.columns})
     if update_matches and not unique_source:
         assert_unique(source, keys)
 
