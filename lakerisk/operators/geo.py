@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakerisk.functions import geometry as G
 
 FIRST_CELL_DEG = 0.01
-LEVELS = 16
+LEVELS = 64  # the last cell size exceeds any coordinate
 
 
 def _once(df: DataFrame, struct: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakerisk.functions.scoring import change_label, level_of
+from lakerisk.operators.joins import match_rows
 from lakerisk.operators.scoring import score_and_level
 
 NEWEST = ("recorded_at", "event_id")
@@ -100,9 +101,10 @@ def label_asof(
 ) -> DataFrame:
     """Each label with the newest event of its unit at or before the label time.
 
-    Labels and events meet inside (unit, time bucket) groups. The last event of
-    each bucket is carried to later buckets on one row per bucket, so no
-    label-event pairs are formed and no task holds the log of a whole unit.
+    Labels and events meet inside (unit, time bucket) groups, and only events of
+    buckets that hold a label are sorted. Every other bucket is reduced to its
+    last event, which is carried forward on one row per bucket. So no label-event
+    pairs are formed and no task holds the log of a whole unit.
     """
 
     def bucket(name: str) -> Column:
@@ -116,18 +118,20 @@ def label_asof(
         "id_wilayah", bucket(at), F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.struct(*labels.columns).alias("_label")
     )
     merged = log.unionByName(asked, allowMissingColumns=True)
+    places = ["id_wilayah", "_bucket"]
+    near = match_rows(log, asked.select(*places).distinct(), places, "left_semi")
     in_order = Window.partitionBy("id_wilayah", "_bucket").orderBy(
         "_t", "_kind", F.col("_event.event_id").asc_nulls_last()
     )
-    within = merged.withColumn("_seen", F.last("_event", ignorenulls=True).over(in_order)).filter(F.col("_kind") == 1)
+    within = near.unionByName(asked, allowMissingColumns=True).withColumn("_seen", F.last("_event", ignorenulls=True).over(in_order)).filter(F.col("_kind") == 1)
 
     # A struct orders by its first fields, so max() is the bucket's newest event.
-    steps = merged.groupBy("id_wilayah", "_bucket").agg(F.max("_event").alias("_event"))
+    steps = merged.groupBy(*places).agg(F.max("_event").alias("_event"))
     earlier = Window.partitionBy("id_wilayah").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = steps.select(
         F.col("id_wilayah"), "_bucket", F.last("_event", ignorenulls=True).over(earlier).alias("_carried")
     )
     found = F.coalesce(F.col("_seen"), F.col("_carried"))
-    return within.join(carried, ["id_wilayah", "_bucket"], "left").select(
+    return within.join(carried, places, "left").select(
         "_label.*", *[found[f"p_{c}"].alias(c) for c in payload]
     )

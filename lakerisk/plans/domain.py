@@ -4,8 +4,11 @@ Each view is a list of (expression, name) pairs that Spark SQL and ANSI engines
 both evaluate, so a checker can build the same inputs. Views keep every row.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakerisk import vocabulary as V
 
@@ -105,8 +108,15 @@ def exprs(pairs: list[tuple[str, str]]) -> list[str]:
     return [f"{expr} as {name}" for expr, name in pairs]
 
 
+@lru_cache(maxsize=256)
+def _schema(app: str, path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; its footer is read once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:

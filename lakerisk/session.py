@@ -14,6 +14,7 @@ def build_session(master: str = "local[*]", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(master).appName("lakerisk")
