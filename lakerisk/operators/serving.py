@@ -233,5 +233,18 @@ def as_map(df: DataFrame, key: str, value: str, name: str = "breakdown") -> Data
     return df.agg(F.map_from_entries(entries).alias(name))
 
 
+def summary(units: DataFrame, gold: DataFrame, events: DataFrame, forecast: DataFrame) -> DataFrame:
+    """The dashboard in one row: totals, and the three breakdowns as maps."""
+    levels = as_map(level_breakdown(gold), "risk_level", "n_units").scalar()
+    clusters = as_map(cluster_distribution(gold), "cluster_label", "n_units").scalar()
+    trends = as_map(forecast_trend_counts(forecast), "forecast_trend", "n_units").scalar()
+    return summary_totals(units, gold, events, forecast).select(
+        "*",
+        levels.alias("risk_level_breakdown"),
+        clusters.alias("cluster_distribution"),
+        trends.alias("forecast_trend_summary"),
+    )
+
+
 def avg_risk(gold: DataFrame) -> DataFrame:
     return gold.agg(F.avg(F.coalesce("risk_score", F.lit(0.0))).alias("avg_risk_score"))

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from lakerisk import vocabulary as V
 from lakerisk.operators import features, history as h, joins, metrics, ml, ranking, serving
+from lakerisk.operators.forecast import forecast
 from lakerisk.plans import domain as D
 from lakerisk.plans import medallion as M
-from lakerisk.plans.catalog.registry import gold, latest, pick, query, ranked, rounded
+from lakerisk.plans.catalog.registry import gold, latest, pick, query, ranked, rounded, scored
 from lakerisk.plans.catalog.rows import recent_keys
 from lakerisk.operators.quality import union_aligned
 from lakerisk.session import scratch_path
@@ -279,3 +280,37 @@ def cluster_centroids(spark, d):
     )
     names = [f"centroid_{n}" for n in V.INDICATORS]
     return pick(ml.cluster_summary(given), ["cluster_id", *names], *names)
+
+
+_TEXT = "SELECT string_agg({key} || '=' || n, ',' ORDER BY {key}) FROM ({counts}) c"
+
+
+@query(
+    "summary",
+    "SELECT (SELECT count(*) FROM units) AS total_wilayah, (SELECT count(*) FROM forecasts) AS total_forecasted, ("
+    + _TEXT.format(key="risk_level", counts="SELECT risk_level, count(*) AS n FROM gold GROUP BY risk_level")
+    + ") AS risk_level_breakdown, ("
+    + _TEXT.format(
+        key="cluster_label",
+        counts=f"SELECT cluster_label, count(*) AS n FROM ({_BANDED}) b JOIN ({_NAMED}) n USING (cluster_id) GROUP BY cluster_label",
+    )
+    + ") AS cluster_distribution, ("
+    + _TEXT.format(
+        key="label",
+        counts="SELECT v.label, count(f.id_wilayah) AS n FROM (VALUES ('Memburuk'), ('Stabil'), ('Membaik')) AS v(label) "
+        "LEFT JOIN forecasts f ON f.forecast_trend = v.label GROUP BY v.label",
+    )
+    + ") AS forecast_trend_summary",
+)
+def summary(spark, d):
+    """The dashboard row, its maps written as text."""
+    clustered = ml.attach_clusters(gold(spark, d), ml.label_clusters(banded(spark, d)))
+    forecasts = forecast(scored(spark, d))
+    row = serving.summary(D.units(spark, d), clustered, D.survey(spark, d), forecasts)
+
+    def as_text(name):
+        pairs = F.transform(F.array_sort(F.map_entries(name)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+        return F.array_join(pairs, ",").alias(name)
+
+    maps = ("risk_level_breakdown", "cluster_distribution", "forecast_trend_summary")
+    return row.select("total_wilayah", "total_forecasted", *map(as_text, maps))

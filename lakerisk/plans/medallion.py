@@ -89,6 +89,11 @@ def register(spark: SparkSession, lake: Lakehouse, incoming: DataFrame) -> tuple
     return again.select(*incoming.columns), offered.filter(bad).select(*incoming.columns, "geometry_error")
 
 
+def history_or_log(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    """The scored history, or the raw log while no silver run has happened."""
+    return _read(spark, lake, HISTORY if _exists(spark, lake, HISTORY) else SURVEY)
+
+
 def event_history(events: DataFrame, units: DataFrame | None) -> DataFrame:
     """Deduplicated log with place names and the score at the time of each event."""
     return scoring.score_and_level(features.enrich_events(history.dedup_events(events), units), "_saat_itu")

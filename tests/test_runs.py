@@ -104,6 +104,13 @@ def test_repeated_batch_is_stored_once(spark, tmp_path):
     assert tables.read_table(spark, lake.path(M.HISTORY)).count() == len(GOLDEN)
 
 
+def test_history_falls_back_to_the_log(spark, tmp_path):
+    lake = lakehouse(spark, tmp_path / "lake", golden_events(spark), with_units=False)
+    assert "risk_score_saat_itu" not in M.history_or_log(spark, lake).columns
+    M.bronze_to_silver(spark, lake)
+    assert "risk_score_saat_itu" in M.history_or_log(spark, lake).columns
+
+
 def test_no_survey_no_tables(spark, tmp_path):
     lake = M.Lakehouse(str(tmp_path / "lake"))
     M.bronze_to_silver(spark, lake)
