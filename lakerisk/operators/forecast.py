@@ -17,7 +17,13 @@ def ols_by_key(events: DataFrame, key: str, ts: str, y: str, newest_by: str | No
     left out, and the aggregation needs no sort.
     """
     x = F.unix_timestamp(ts) / F.lit(float(DAY))
-    rows = events.select(key, x.alias("_x"), F.col(y).cast("double").alias("_y"), F.col(ts).alias("_t"), F.col(newest_by or key).alias("_tie"))
+    rows = events.select(
+        key,
+        x.alias("_x"),
+        F.col(y).cast("double").alias("_y"),
+        F.col(ts).alias("_t"),
+        F.col(newest_by or key).alias("_tie"),
+    )
     rows = rows.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     newest = [F.max_by("_y", F.struct("_t", "_tie")).alias("last_y")] if newest_by else []
     fitted = rows.groupBy(key).agg(

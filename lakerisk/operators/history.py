@@ -21,7 +21,9 @@ def _newest(order_cols: Sequence[str]) -> list[Column]:
     return [F.desc_nulls_last(c) for c in order_cols]
 
 
-def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
+def top_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None
+) -> DataFrame:
     """First ``n`` rows of each key; ``rank`` keeps the position under that name."""
     numbered = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     top = numbered.filter(F.col("_rn") <= n)
@@ -120,10 +122,10 @@ def label_asof(
     merged = log.unionByName(asked, allowMissingColumns=True)
     places = ["id_wilayah", "_bucket"]
     near = match_rows(log, asked.select(*places).distinct(), places, "left_semi")
-    in_order = Window.partitionBy("id_wilayah", "_bucket").orderBy(
-        "_t", "_kind", F.col("_event.event_id").asc_nulls_last()
-    )
-    within = near.unionByName(asked, allowMissingColumns=True).withColumn("_seen", F.last("_event", ignorenulls=True).over(in_order)).filter(F.col("_kind") == 1)
+    in_order = Window.partitionBy(*places).orderBy("_t", "_kind", F.col("_event.event_id").asc_nulls_last())
+    together = near.unionByName(asked, allowMissingColumns=True)
+    seen = F.last("_event", ignorenulls=True).over(in_order)
+    within = together.withColumn("_seen", seen).filter(F.col("_kind") == 1)
 
     # A struct orders by its first fields, so max() is the bucket's newest event.
     steps = merged.groupBy(*places).agg(F.max("_event").alias("_event"))

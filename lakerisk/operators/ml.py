@@ -254,7 +254,8 @@ def label_stats(stats: DataFrame, labels: Sequence[str] = V.CLUSTER_LABELS) -> D
 def label_clusters(assigned: DataFrame, labels: Sequence[str] = V.CLUSTER_LABELS) -> DataFrame:
     """Cluster of each unit with its label. The broadcast side has k rows."""
     named = label_stats(cluster_stats(assigned), labels).select("cluster_id", "cluster_rank", "cluster_label")
-    return assigned.select("id_wilayah", *present(assigned, V.AREA_KEYS), "cluster_id").join(F.broadcast(named), "cluster_id", "left")
+    units = assigned.select("id_wilayah", *present(assigned, V.AREA_KEYS), "cluster_id")
+    return units.join(F.broadcast(named), "cluster_id", "left")
 
 
 def cluster_summary(assigned: DataFrame, cols: Sequence[str] = V.INDICATORS) -> DataFrame:

@@ -39,7 +39,9 @@ def message_reasons(table: T.StructType, required: tuple[str, ...]) -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def split_corrupt(messages: DataFrame, table: T.StructType, required: tuple[str, ...] = ("id_wilayah",)) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(
+    messages: DataFrame, table: T.StructType, required: tuple[str, ...] = ("id_wilayah",)
+) -> tuple[DataFrame, DataFrame]:
     """(good messages, rejected messages as raw text with reasons)"""
     fields = table.fieldNames()
     checked = messages.withColumn("reasons", message_reasons(table, required))
