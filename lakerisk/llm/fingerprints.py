@@ -123,10 +123,10 @@ def likeness(left: Column, right: Column, scheme: Scheme = SCHEME) -> Column:
     return F.when(filled == 0, F.lit(1.0)).otherwise(equal / filled)
 
 
-def with_next(rows: DataFrame, rows_per_bucket: int = 2000) -> DataFrame:
-    """Adds ``next``: struct<text, fingerprint> of the next row by doc_id; the last row gets the first.
+def with_next(rows: DataFrame, scheme: Scheme = SCHEME, rows_per_bucket: int = 2000) -> DataFrame:
+    """Adds fingerprint, and ``next``: struct<text, fingerprint> of the next row by doc_id; the last row gets the first.
 
-    ``rows`` has doc_id, text, fingerprint. The id range is cut at quantiles into
+    ``rows`` has doc_id and text. The id range is cut at quantiles into
     buckets, so order is found inside buckets in parallel; the last row of a bucket
     takes the first row of the next, of which there is one per bucket. Null ids come
     first; equal ids are ordered by text.
@@ -144,7 +144,8 @@ def with_next(rows: DataFrame, rows_per_bucket: int = 2000) -> DataFrame:
 
     heads = bucketed.groupBy("_b").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("_h"))
     same = (bucketed["_b"] == heads["_b"]) & (F.coalesce(bucketed["doc_id"], F.lit(-(2**63))) == heads["_h"])
-    firsts = bucketed.join(heads, same, "left_semi").groupBy("_b").agg(F.min(F.struct("text", "fingerprint")).alias("_first"))
+    firsts = bucketed.join(heads, same, "left_semi").groupBy("_b").agg(F.min("text").alias("text"))
+    firsts = firsts.select("_b", F.struct("text", fingerprint(F.col("text"), scheme).alias("fingerprint")).alias("_first"))
     # One row per bucket: the bucket before each, and for the last the first.
     every = Window.orderBy("_b")
     before = heads.select(F.col("_b").alias("_to"), F.lag("_b").over(every).alias("_from"), F.max("_b").over(Window.partitionBy()).alias("_end"))
@@ -152,9 +153,10 @@ def with_next(rows: DataFrame, rows_per_bucket: int = 2000) -> DataFrame:
     heir = firsts.join(before, firsts["_b"] == before["_to"]).select(F.col("_from").alias("_of"), "_first")
 
     inside = Window.partitionBy("_b").orderBy(*order)
-    led = bucketed.withColumn("_lead", F.lead(F.struct("text", "fingerprint")).over(inside))
+    printed = bucketed.withColumn("fingerprint", fingerprint(F.col("text"), scheme))
+    led = printed.withColumn("_lead", F.lead(F.struct("text", "fingerprint")).over(inside))
     return led.join(heir, led["_b"] == heir["_of"], "left").select(
-        *rows.columns, F.coalesce("_lead", "_first").alias("next")
+        "doc_id", "text", "fingerprint", F.coalesce("_lead", "_first").alias("next")
     )
 
 
@@ -165,7 +167,7 @@ def compare_edited(docs: DataFrame, scheme: Scheme = SCHEME) -> DataFrame:
     rows are rows of their own (ordered as in ``with_next``); no rows give no rows.
     """
     own = docs.select("doc_id", whole("text").alias("text"))
-    rows = with_next(own.withColumn("fingerprint", fingerprint(F.col("text"), scheme)))
+    rows = with_next(own, scheme)
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next.text"), F.lit(1), cut))

@@ -187,7 +187,7 @@ def test_edited_texts_and_likeness(spark, texts):
         for r, t, e, p, c, n in zip(rows, whole, edited, prints, changed, prints[1:] + prints[:1], strict=True)
     ]
     for per_bucket in (2000, 7):
-        own = fingerprints.with_next(table.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("f").alias("fingerprint")), per_bucket)
+        own = fingerprints.with_next(table.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), rows_per_bucket=per_bucket)
         assert {(r.doc_id, r.next.text) for r in own.collect()} == {(r.doc_id, n) for r, n in zip(rows, after, strict=True)}
     assert [tuple(r) for r in fingerprints.compare_edited(table).orderBy("doc_id").collect()] == expected
 
