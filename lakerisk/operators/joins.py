@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakerisk import vocabulary as V
@@ -68,9 +68,15 @@ def affected_ids(*frames: DataFrame, key: str = "id_wilayah") -> DataFrame:
 
 
 def register_units(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split incoming units into (new, already registered) by id."""
+    """Split incoming units into (new, already registered) by id.
+
+    Of rows that offer one id the first by content is new; the others count as registered.
+    """
     known = existing.select("id_wilayah").distinct()
+    offers = Window.partitionBy("id_wilayah").orderBy(F.to_json(F.struct(*incoming.columns)))
+    numbered = incoming.withColumn("_offer", F.row_number().over(offers))
+    first, again = numbered.filter("_offer = 1").drop("_offer"), numbered.filter("_offer > 1").drop("_offer")
     return (
-        incoming.join(known, "id_wilayah", "left_anti"),
-        incoming.join(known, "id_wilayah", "left_semi"),
+        first.join(known, "id_wilayah", "left_anti"),
+        first.join(known, "id_wilayah", "left_semi").unionByName(again),
     )

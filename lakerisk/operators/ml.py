@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -164,6 +165,17 @@ def load_model(root: str) -> PipelineModel:
     return PipelineModel.load(f"{root}/rf_slum_latest")
 
 
+def stored_model(spark: SparkSession, root: str) -> PipelineModel | None:
+    """The latest saved model, or None when none was ever saved."""
+    try:
+        spark.read.text(f"{root}/rf_slum_latest/metadata")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return load_model(root)
+
+
 def new_version(spark: SparkSession) -> str:
     return spark.range(1).select(version_string(F.current_timestamp())).first()[0]
 

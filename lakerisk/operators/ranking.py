@@ -20,7 +20,9 @@ def _bucket(value: Column) -> Column:
     number depends on the range of the values and not on the number of rows.
     """
     size = F.floor((F.log2(F.abs(value)) + F.lit(1100.0)) * F.lit(float(STEPS_PER_DOUBLING)))
-    return F.when(value > 0, size).when(value < 0, -size).when(value == 0, F.lit(0))
+    # NaN is the largest of all numbers to SQL; its logarithm has no bucket.
+    nan = F.isnan(value.cast("double"))
+    return F.when(nan, F.lit(1 << 40)).when(value > 0, size).when(value < 0, -size).when(value == 0, F.lit(0))
 
 
 def running_totals(hist: DataFrame, value: str, counts: Sequence[str]) -> DataFrame:

@@ -73,16 +73,48 @@ def stream_quarantine(spark, d):
 
 @query("stream_dedup", "SELECT event_id, id_wilayah FROM survey")
 def stream_dedup(spark, d):
-    """Every event delivered three times; one of each is kept."""
-    messages = files.read_events(spark, _publish(redelivered(spark, d)), schemas.SURVEY)
-    good, _ = ingest.split_corrupt(messages, schemas.SURVEY)
-    unique = ingest.dedup_stream(ingest.typed_survey(good), delay="60 days")
-    out = scratch_path(spark, "unique")
-    writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "checkpoint"))
-    writer.trigger(availableNow=True).start().awaitTermination()
+    """Every event delivered three times, the older half of the log last; one of each is kept."""
+    out, checkpoint, folder = scratch_path(spark, "unique"), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
+    log = redelivered(spark, d)
+    middle = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    for delivery in (log.filter(F.col("recorded_at") > middle), log.filter(F.col("recorded_at") <= middle)):
+        delivery.select(F.to_json(F.struct(*delivery.columns), JSON_OPTIONS).alias("value")).write.mode("append").text(folder)
+        good, _ = ingest.split_corrupt(files.read_events(spark, folder, schemas.SURVEY), schemas.SURVEY)
+        writer = ingest.typed_survey(good).writeStream.foreachBatch(ingest.unique_sink(spark, out))
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(schemas.SURVEY).parquet(out).select("event_id", "id_wilayah")
 
 
+@query("mixed_bronze_latest", _LATEST_SQL)
+def mixed_bronze_latest(spark, d):
+    """Newer half of the log by batch and a full run, the older half by stream, then another full run."""
+    return _latest(spark, mixed_lake(spark, d))
+
+
+@query("mixed_bronze_history", "SELECT event_id, id_wilayah, recorded_at FROM survey")
+def mixed_bronze_history(spark, d):
+    return tables.read_table(spark, mixed_lake(spark, d).path(M.HISTORY)).select("event_id", "id_wilayah", "recorded_at")
+
+
+def mixed_lake(spark, d):
+    return _mixed(spark.sparkContext.applicationId, d)
+
+
+@lru_cache(maxsize=4)
+def _mixed(app: str, d: str) -> M.Lakehouse:
+    spark = SparkSession.active()
+    lake = M.Lakehouse(scratch_path(spark, "lake"))
+    tables.append_table(D.units(spark, d), lake.path(M.UNITS))
+    log = D.survey(spark, d)
+    middle = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    tables.append_table(log.filter(F.col("recorded_at") > middle), lake.path(M.SURVEY))
+    M.bronze_to_silver(spark, lake)
+    messages = files.read_events(spark, _publish(log.filter(F.col("recorded_at") <= middle)), schemas.SURVEY)
+    ingest.start_refresh(messages, ingest.survey_refresh(spark, lake), scratch_path(spark, "checkpoint"), interval=None).awaitTermination()
+    M.bronze_to_silver(spark, lake)
+    return lake
+
+
 @lru_cache(maxsize=4)
 def _streamed(app: str, d: str) -> M.Lakehouse:
     """A lakehouse fed only by streams: the survey log in two deliveries, late

@@ -1,6 +1,7 @@
 """Batch runs over the lakehouse layers: bronze -> silver, training, silver -> gold."""
 
 from dataclasses import dataclass
+from typing import Literal
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -89,9 +90,13 @@ def register(spark: SparkSession, lake: Lakehouse, incoming: DataFrame) -> tuple
     return again.select(*incoming.columns), offered.filter(bad).select(*incoming.columns, "geometry_error")
 
 
+def survey_log(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    return tables.read_log(spark, lake.path(SURVEY), schemas.SURVEY)
+
+
 def history_or_log(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     """The scored history, or the raw log while no silver run has happened."""
-    return _read(spark, lake, HISTORY if _exists(spark, lake, HISTORY) else SURVEY)
+    return _read(spark, lake, HISTORY) if _exists(spark, lake, HISTORY) else survey_log(spark, lake)
 
 
 def event_history(events: DataFrame, units: DataFrame | None) -> DataFrame:
@@ -117,7 +122,9 @@ def with_geometry(latest: DataFrame, units: DataFrame | None) -> DataFrame:
 
 
 def refresh_ground_truth(spark: SparkSession, lake: Lakehouse, keys: DataFrame | None = None) -> None:
-    secondary = tables.read_optional(spark, lake.path(SECONDARY), schemas.SECONDARY).drop("ingest_batch")
+    if not _exists(spark, lake, SECONDARY):
+        return
+    secondary = tables.read_log(spark, lake.path(SECONDARY), schemas.SECONDARY)
     labels = history.latest_ground_truth(scope_by_keys(secondary, keys))
     if keys is None:
         if not labels.isEmpty():
@@ -137,7 +144,7 @@ def bronze_to_silver(
     incremental = keys is not None and _exists(spark, lake, HISTORY, LATEST, FEATURES)
     scope = keys if incremental else None
     units = _units(spark, lake)
-    past = event_history(scope_by_keys(_read(spark, lake, SURVEY).drop("ingest_batch"), scope), units)
+    past = event_history(scope_by_keys(survey_log(spark, lake), scope), units)
 
     if not incremental:
         tables.write_table(past, lake.path(HISTORY), AREA_PARTITION, UNIT_ORDER)
@@ -219,16 +226,26 @@ def gold_units(latest: DataFrame, units: DataFrame | None, model: PipelineModel
 
 
 def silver_to_gold(
-    spark: SparkSession, lake: Lakehouse, keys: DataFrame | None = None, model: PipelineModel | None = None, k: int = 4
+    spark: SparkSession,
+    lake: Lakehouse,
+    keys: DataFrame | None = None,
+    model: PipelineModel | Literal["rule"] | None = None,
+    k: int = 4,
 ) -> None:
     """Rebuild the gold tables; with ``keys`` the per-unit parts of only those units.
 
+    Without a model the latest stored one predicts, in full and incremental runs
+    alike; the risk rule does only where none is stored or ``"rule"`` is asked for.
     Rank and clusters compare all units, so they are always computed over all.
     """
     if not _exists(spark, lake, LATEST):
         return
     incremental = keys is not None and _exists(spark, lake, RISK, PREDICTION, TREND, FACTORS, PRIORITY)
     scope = keys if incremental else None
+    if model is None:
+        model = ml.stored_model(spark, lake.models)
+    elif model == "rule":
+        model = None
     units = _units(spark, lake)
     latest = _read(spark, lake, LATEST)
 

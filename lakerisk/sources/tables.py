@@ -37,6 +37,14 @@ def read_table(
     return spark.read.schema(T.StructType(exact)).parquet(path)
 
 
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An append-only table whose files lie in its folder and in folders per batch.
+
+    All of them are read, whoever wrote them; columns that a file lacks are NULL.
+    """
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)

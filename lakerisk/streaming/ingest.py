@@ -10,12 +10,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from lakerisk import schemas
 from lakerisk import vocabulary as V
 from lakerisk.functions.text import NAMESPACE_URL, parse_ts, uuid5
+from lakerisk.operators.history import latest_per_key
 from lakerisk.operators.joins import affected_ids
 from lakerisk.operators.quality import conform_secondary, conform_survey, with_raw_json
 from lakerisk.plans import medallion as M
 from lakerisk.sources import tables
 
-WATERMARK = "7 days"
 CORRUPT = "_corrupt_record"
 BATCH = "ingest_batch"
 
@@ -80,10 +80,18 @@ def typed_secondary(good: DataFrame) -> DataFrame:
     )
 
 
-def dedup_stream(events: DataFrame, key: str = "event_id", delay: str = WATERMARK) -> DataFrame:
-    """Drop redelivered events that arrive within ``delay`` of each other; older
-    copies are caught by the insert-only history merge."""
-    return events.withWatermark("recorded_at", delay).dropDuplicatesWithinWatermark([key])
+def unique_sink(spark: SparkSession, path: str, key: str = "event_id") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: insert events whose key the table does not hold.
+
+    However late an event or its repetition arrives, the event is kept and the
+    repetition is not; a batch that is run again inserts nothing twice.
+    """
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        rows = latest_per_key(batch, key, ("recorded_at",))
+        tables.merge_table(spark, path, rows, [key], update_matches=False)
+
+    return insert
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -102,11 +110,16 @@ def stream_to_bronze(
     checkpoint: str,
     interval: str | None = None,
 ) -> list[StreamingQuery]:
-    """Two exactly-once file sinks: good rows to bronze, rejected messages to quarantine."""
+    """Good rows to bronze, rejected messages to quarantine, each micro-batch in a folder of its
+    own that a repeated batch replaces. Files that batch loads wrote there stay readable."""
     good, bad = split_corrupt(messages, table, _required(table))
+
+    def into(path: str) -> Callable[[DataFrame, int], None]:
+        return lambda batch, batch_id: _store_batch(batch.sparkSession, batch, path, batch_id) and None
+
     return [
-        _start(typed(good).writeStream.format("parquet").option("path", out), f"{checkpoint}/bronze", interval),
-        _start(bad.writeStream.format("parquet").option("path", quarantine), f"{checkpoint}/quarantine", interval),
+        _start(typed(good).writeStream.foreachBatch(into(out)), f"{checkpoint}/bronze", interval),
+        _start(bad.writeStream.foreachBatch(into(quarantine)), f"{checkpoint}/quarantine", interval),
     ]
 
 

@@ -201,3 +201,30 @@ def test_hot_keys_are_limited_before_the_shuffle(spark, data):
     for name in ("latest_indicators", "trend", "dedup_events", "ground_truth_latest"):
         plan = QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
         assert "Partial" in plan and "WindowGroupLimit" in plan, name
+
+
+def test_batch_and_stream_files_are_read_together(spark, tmp_path):
+    path = str(tmp_path / "log")
+    events = golden_events(spark)
+    tables.append_table(events.limit(2), path)
+    tables.append_table(events.drop("skor_jalan").limit(1), path)
+    ingest._store_batch(spark, events.limit(3), path, 7)
+    rows = tables.read_log(spark, path, schemas.SURVEY)
+    assert rows.count() == 6 and rows.columns == schemas.SURVEY.fieldNames()
+    assert rows.filter("skor_jalan is null").count() >= 1
+
+
+def test_an_id_offered_twice_is_registered_once(spark):
+    from lakerisk.operators.joins import register_units
+
+    offered = spark.createDataFrame([("x", 2), ("x", 1), ("y", 1), ("k", 1)], "id_wilayah string, total_jiwa int")
+    new, again = register_units(spark.createDataFrame([("k",)], "id_wilayah string"), offered)
+    assert sorted(map(tuple, new.collect())) == [("x", 1), ("y", 1)]
+    assert sorted(map(tuple, again.collect())) == [("k", 1), ("x", 2)]
+
+
+def test_nan_ranks_first(spark):
+    from lakerisk.operators.ranking import global_rank
+
+    rows = spark.createDataFrame([(1, float("nan")), (2, 5.0), (3, None), (4, -1.0)], "id int, v double")
+    assert {r["id"]: r["r"] for r in global_rank(rows, "v", "r", ["id"]).collect()} == {1: 1, 2: 2, 4: 3, 3: 4}
