@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakerisk import vocabulary as V
-from lakerisk.operators.history import top_per_key
+from lakerisk.functions.scoring import largest_named
 from lakerisk.operators.joins import lookup_left
 from lakerisk.operators.scoring import priority_score
 
@@ -83,13 +83,11 @@ def top_by(gold: DataFrame, column: str, n: int = 20) -> DataFrame:
 def area_factors(latest: DataFrame, k: int = 3) -> DataFrame:
     """Top-k indicators of each kelurahan by mean score.
 
-    The seven means come from one aggregation; ranking happens on area rows.
+    The seven means come from one aggregation; ranking happens inside area rows.
     """
     means = latest.groupBy(*V.AREA_KEYS).agg(*[F.avg(F.coalesce(F.col(n), F.lit(0))).alias(n) for n in V.INDICATORS])
-    long = means.select(
-        *V.AREA_KEYS,
-        F.explode(
-            F.array(*[F.struct(F.lit(V.INDICATOR_LABELS[n]).alias("faktor"), F.col(n).alias("avg_skor")) for n in V.INDICATORS])
-        ).alias("_f"),
-    ).select(*V.AREA_KEYS, "_f.*")
-    return top_per_key(long, list(V.AREA_KEYS), [F.desc("avg_skor"), F.asc("faktor")], n=k, rank="urutan")
+    worst = largest_named({V.INDICATOR_LABELS[n]: F.col(n) for n in V.INDICATORS}, k)
+    ranked = means.select(*V.AREA_KEYS, F.posexplode(worst).alias("_at", "_of"))
+    return ranked.select(
+        *V.AREA_KEYS, F.col("_of.name").alias("faktor"), F.col("_of.value").alias("avg_skor"), (F.col("_at") + 1).alias("urutan")
+    )

@@ -69,15 +69,13 @@ def priority_score(df: DataFrame) -> DataFrame:
 
 
 def dominant_factors(df: DataFrame, k: int = 3) -> DataFrame:
-    """top_faktor_1..k and skor_faktor_1..k per row; blanks when no indicator column exists."""
-    labels = {n: V.INDICATOR_LABELS[n] for n in present(df, V.INDICATORS)}
-    if not labels:
-        empty = {f"top_faktor_{i}": F.lit("") for i in range(1, k + 1)}
-        return df.withColumns(empty | {f"skor_faktor_{i}": F.lit(0.0) for i in range(1, k + 1)})
-    ranked = df.withColumn("_ranked", S.rank_factors(labels))
-    tops = {f"top_faktor_{i + 1}": F.get("_ranked", F.lit(i))["label"] for i in range(k)}
-    scores = {f"skor_faktor_{i + 1}": F.get("_ranked", F.lit(i))["score"] for i in range(k)}
-    return ranked.withColumns(tops | scores).drop("_ranked")
+    """top_faktor_1..k and skor_faktor_1..k per row: the worst indicators, ties by label; blanks when no indicator column exists."""
+    held = {V.INDICATOR_LABELS[n]: F.col(n) for n in present(df, V.INDICATORS)}
+    worst = S.largest_named(held, k) if held else F.array_repeat(F.struct(F.lit("").alias("name"), F.lit(0.0).alias("value")), k)
+    with_worst = df.select("*", worst.alias("_worst"))
+    place = {"top_faktor": "name", "skor_faktor": "value"}
+    wide = [F.get("_worst", F.lit(i))[field].alias(f"{out}_{i + 1}") for out, field in place.items() for i in range(k)]
+    return with_worst.select(*df.columns, *wide)
 
 
 def indicators_long(df: DataFrame, keep: Sequence[str] = ("id_wilayah",)) -> DataFrame:

@@ -63,6 +63,20 @@ METRICS = _struct(
 )
 
 
+# Columns of the two area tables, each with its aggregate and input.
+AREA_FEATURES = {f"avg_{name}": ("mean", name) for name in INDICATORS} | {
+    "total_jiwa_kelurahan": ("total", "jumlah_jiwa"),
+    "avg_frekuensi_banjir": ("mean", "frekuensi_banjir"),
+    "total_rt_surveyed": ("filled", "id_wilayah"),
+    "avg_risk_score": ("mean", "risk_score"),
+}
+AREA_POPULATION = {
+    "total_jiwa": ("total", "total_jiwa"),
+    "total_kk": ("total", "total_kk"),
+    "total_rt": ("filled", "id_wilayah"),
+}
+
+
 def message_schema(table: T.StructType) -> T.StructType:
     """Schema for reading one JSON message of a table: every field as text.
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from seed import GOLDEN, UNSURVEYED, golden_events, golden_units
 
 from lakerisk.functions import text as X
+from lakerisk.functions.scoring import largest_named
 from lakerisk.operators import scoring, serving
 from lakerisk.plans import medallion as M
 
@@ -32,6 +33,14 @@ def test_missing_indicator_columns(spark):
     assert (row["top_faktor_1"], row["skor_faktor_3"]) == ("", 0.0)
 
 
+def test_largest_named_values(spark):
+    rows = spark.createDataFrame([(2.0, 2.0, None), (None, float("nan"), 1.0)], "b DOUBLE, a DOUBLE, c DOUBLE")
+    found = rows.select(largest_named({n: F.col(n) for n in ("b", "a", "c")}, 2).alias("top")).collect()
+    assert [[e["name"] for e in r["top"]] for r in found] == [["a", "b"], ["a", "c"]]
+    short = rows.select(largest_named({"a": F.col("a")}, 3).alias("top")).first()
+    assert [(e["name"], e["value"]) for e in short["top"]] == [("a", 2.0)]
+
+
 def test_null_score_is_in_the_top_band(spark):
     df = spark.createDataFrame([(None,), (24.9,), (25.0,), (50.0,), (75.0,)], "risk_score DOUBLE")
     levels = [r["risk_level"] for r in scoring.risk_level(df).collect()]
