@@ -18,6 +18,8 @@ from lakerisk.sources.tables import staged
 
 SHELVES = 16384
 NO_RANK = 2**31 - 1
+#: Bytes up to which a word is folded pair by pair; not a limit, see ``fold``.
+SHORT = 64
 
 
 @dataclass(frozen=True)
@@ -72,8 +74,61 @@ class Codec:
         return F.regexp_extract_all(text, F.lit(f"({self.pattern})"))
 
     def fold(self, word: Column) -> Column:
-        """array<int> of ids of one match of the pattern."""
-        digits = F.hex(F.encode(word, "UTF-8"))
+        """array<int> of ids of one match of the pattern.
+
+        Both ways of folding give the same ids. A step of the first costs two look-ups but joins one
+        pair; a step of the second looks up all pairs but joins every occurrence of the best one,
+        so that a long run of one letter takes few steps.
+        """
+
+        def of(digits: Column) -> Column:
+            def by(ranks: Column) -> Column:
+                folded = F.when(F.length(digits) <= 2 * SHORT, self._fold_short(digits, ranks)).otherwise(self._fold_long(digits, ranks))
+                return let(_look_up(ranks, digits), lambda rank: F.when(rank.isNotNull(), F.array(rank)).otherwise(folded))
+
+            return let(self.ranks, by)  # named once: each mention would be a literal of its own in the plan
+
+        return let(F.hex(F.encode(word, "UTF-8")), of)
+
+    def _fold_short(self, digits: Column, filed: Column) -> Column:
+        """Keeps the rank of each pair of neighbours beside the tokens; joining one pair renews two ranks."""
+        none = F.array().cast("array<int>")
+        rank = lambda a, b: F.coalesce(_look_up(filed, F.concat(a, b)), F.lit(NO_RANK))
+        start = let(
+            F.split(F.regexp_replace(digits, "(..)(?=.)", "$1,"), ","),
+            lambda parts: F.struct(
+                parts.alias("parts"),
+                F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda a, i: rank(a, F.get(parts, i + 1))).alias("ranks"),
+            ),
+        )
+
+        def step(state: Column, _: Column) -> Column:
+            parts, ranks = state["parts"], state["ranks"]
+
+            def join_at(at: Column) -> Column:
+                """Joins entries ``at`` and ``at`` + 1, counted from one."""
+
+                def with_token(token: Column) -> Column:
+                    left = F.when(at > 1, F.array(rank(F.get(parts, at - 2), token))).otherwise(none)
+                    right = F.when(at < F.size(ranks), F.array(rank(token, F.get(parts, at + 1)))).otherwise(none)
+                    kept = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(token), F.slice(parts, at + 2, F.size(parts)))
+                    renewed = F.concat(
+                        F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(ranks, at + 2, F.size(parts))
+                    )
+                    return F.struct(kept.alias("parts"), renewed.alias("ranks"))
+
+                return let(F.concat(F.get(parts, at - 1), F.get(parts, at)), with_token)
+
+            # Rank and place in one number: its minimum is the first pair of lowest rank.
+            placed = F.transform(ranks, lambda r, i: r.cast("long") * SHORT + i)
+            best = lambda low: F.when(low < NO_RANK * SHORT, let((low % SHORT).cast("int") + 1, join_at)).otherwise(state)
+            return let(F.coalesce(F.array_min(placed), F.lit(NO_RANK * SHORT)), best)
+
+        steps = F.sequence(F.lit(1), F.greatest(F.length(digits) / 2, F.lit(1)).cast("int"))
+        return F.aggregate(steps, start, step, lambda state: F.transform(state["parts"], lambda p: _look_up(filed, p)))
+
+    def _fold_long(self, digits: Column, filed: Column) -> Column:
+        """Keeps the tokens as one string; a step replaces every occurrence of the best pair."""
         # Each token stands between commas of its own: ",61,,62,". Split at commas, token i is entry 2i + 1.
         apart = F.regexp_replace(digits, "(..)", ",$1,")
         at = lambda parts, i: F.get(parts, 2 * i + 1)
@@ -81,7 +136,7 @@ class Codec:
         def step(state: Column, _: Column) -> Column:
             def lowest(parts: Column) -> Column:
                 def pair(i: Column) -> Column:
-                    rank = _look_up(self.ranks, F.concat(at(parts, i), at(parts, i + 1)))
+                    rank = _look_up(filed, F.concat(at(parts, i), at(parts, i + 1)))
                     return F.struct(F.coalesce(rank, F.lit(NO_RANK)).alias("rank"), i.alias("i"))
 
                 last = F.floor(F.size(parts) / 2).cast("int") - 2
@@ -99,7 +154,7 @@ class Codec:
 
         def ids(state: Column) -> Column:
             parts = F.filter(F.split(state["parts"], ","), lambda p: p != "")
-            return F.transform(parts, lambda p: _look_up(self.ranks, p))
+            return F.transform(parts, lambda p: _look_up(filed, p))
 
         steps = F.sequence(F.lit(1), F.greatest(F.length(digits) / 2, F.lit(1)).cast("int"))
         start = F.struct(apart.alias("parts"), F.lit(False).alias("done"))
