@@ -68,7 +68,7 @@ def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def op5_packing(spark: SparkSession, d: str) -> DataFrame:
-    return packing.digest(packing.pack(_table(spark, d, "documents"), _tokenizer("byte_bpe_50k.json")))
+    return packing.digest(packing.pack(_table(spark, d, "documents"), _tokenizer("byte_bpe_50k.json"), packing.LIBRARY))
 
 
 @_query

@@ -167,6 +167,23 @@ def test_encoder_cuts_only_where_it_may():
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_query_reads_added_tokens_as_the_library_does(spark, tmp_path):
+    """Against the library at its default setting."""
+    planted = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y  <|endoftext|> ", "<|endoftext", "no \n <|endoftext|>\n\n it's <|ENDOFTEXT|>", "", None]
+    noise = np.random.default_rng(9)
+    planted += ["".join(noise.choice(["<|endoftext|>", " ", "  ", "word", "\n", "<|", "é", "'s"], 12)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(planted)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(planted)}
+    for packed in (QUERIES["op5_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        rows = packed.collect()
+        assert {r.doc_id for r in rows} == set(ids)
+        for r in rows:
+            own = ids[r.doc_id]
+            assert r.doc_tokens == len(own) and r.ids_crc32 == zlib.crc32(struct.pack(f"<{r.length}I", *own[r.start : r.start + r.length]))
+
+
 @pytest.mark.parametrize("n,lengths", [(1, [1]), (2048, [2048]), (2049, [2048, 1]), (7, [4, 2, 1]), (4096 + 1025, [2048, 2048, 1024, 1])])
 def test_piece_lengths(n, lengths):
     assert packing.piece_lengths(n, 2048) == lengths
