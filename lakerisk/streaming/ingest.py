@@ -111,7 +111,8 @@ def stream_to_bronze(
     interval: str | None = None,
 ) -> list[StreamingQuery]:
     """Good rows to bronze, rejected messages to quarantine, each micro-batch in a folder of its
-    own that a repeated batch replaces. Files that batch loads wrote there stay readable."""
+    own that a repeated batch replaces. Files that batch loads and other streams wrote there
+    stay, and stay readable."""
     good, bad = split_corrupt(messages, table, _required(table))
 
     def into(path: str) -> Callable[[DataFrame, int], None]:
@@ -127,15 +128,24 @@ def _required(table: T.StructType) -> tuple[str, ...]:
     return ("id_wilayah",) if table == schemas.SURVEY else ()
 
 
+def _batch_name(spark: SparkSession, batch_id: int) -> str:
+    """Names a micro-batch among those of all streams: batch ids start at 0 with each checkpoint,
+    and the query id lasts as long as the checkpoint. Outside a stream there is only the number.
+    Inside foreachBatch the query id is a property of the calling thread (PySpark pins threads by default)."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}" if query else str(batch_id)
+
+
 def _store_batch(spark: SparkSession, rows: DataFrame, path: str, batch_id: int) -> DataFrame:
     """Write a micro-batch as its own partition and read it back. A repeated
     batch replaces its partition instead of adding rows twice."""
-    stamped = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    name = _batch_name(spark, batch_id)
+    stamped = rows.withColumn(BATCH, F.lit(name))
     writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BATCH).parquet(path)
-    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
+    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.StringType())])
     stored = spark.read.schema(schema).parquet(path)
-    return stored.filter(F.col(BATCH) == batch_id).drop(BATCH)
+    return stored.filter(F.col(BATCH) == name).drop(BATCH)
 
 
 def affected_keys(batch: DataFrame) -> DataFrame:

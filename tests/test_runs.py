@@ -104,6 +104,41 @@ def test_repeated_batch_is_stored_once(spark, tmp_path):
     assert tables.read_table(spark, lake.path(M.HISTORY)).count() == len(GOLDEN)
 
 
+def test_streams_into_one_log_keep_each_others_batches(spark, tmp_path):
+    """Batch numbers start at 0 for every checkpoint; a repeated batch of one stream is still stored once."""
+    out, bad = str(tmp_path / "log"), str(tmp_path / "rejects")
+    for stream in ("a", "b"):
+        folder = tmp_path / stream
+        folder.mkdir()
+        good = json.dumps({"event_id": f"event {stream}", "id_wilayah": "u1"})
+        (folder / "0.json").write_text(f"{good}\n{{broken {stream}")
+        for _ in range(2):  # the second start goes on from the checkpoint
+            messages = files.read_events(spark, str(folder), schemas.SURVEY)
+            for running in ingest.stream_to_bronze(messages, schemas.SURVEY, ingest.typed_survey, out, bad, str(tmp_path / f"checkpoint {stream}")):
+                running.awaitTermination()
+    lake = M.Lakehouse(str(tmp_path / "lake"))
+    for stream in ("a", "b"):
+        messages = files.read_events(spark, str(tmp_path / stream), schemas.SURVEY)
+        ingest.start_refresh(messages, ingest.survey_refresh(spark, lake), str(tmp_path / f"refresh {stream}"), interval=None).awaitTermination()
+    for log, rejects in ((out, bad), (lake.path(M.SURVEY), lake.path("bronze/survey_rejects"))):
+        stored = tables.read_log(spark, log, schemas.SURVEY).collect()
+        assert sorted(r["event_id"] for r in stored) == ["event a", "event b"]
+        assert sorted(r["message"] for r in spark.read.parquet(rejects).collect()) == ["{broken a", "{broken b"]
+
+
+def test_a_rerun_batch_of_a_stream_is_stored_once(spark, tmp_path):
+    """A batch whose commit was lost is run again under the same query id."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text(json.dumps({"event_id": "e", "id_wilayah": "u1"}))
+    lake, checkpoint = M.Lakehouse(str(tmp_path / "lake")), tmp_path / "checkpoint"
+    for _ in range(2):
+        messages = files.read_events(spark, str(tmp_path / "in"), schemas.SURVEY)
+        ingest.start_refresh(messages, ingest.survey_refresh(spark, lake), str(checkpoint), interval=None).awaitTermination()
+        for name in ("0", ".0.crc"):
+            (checkpoint / "commits" / name).unlink(missing_ok=True)
+    assert tables.read_log(spark, lake.path(M.SURVEY), schemas.SURVEY).count() == 1
+
+
 def test_history_falls_back_to_the_log(spark, tmp_path):
     lake = lakehouse(spark, tmp_path / "lake", golden_events(spark), with_units=False)
     assert "risk_score_saat_itu" not in M.history_or_log(spark, lake).columns
