@@ -7,6 +7,7 @@ sent once to each of the 137 leading parts its points have (r = 2), where the
 task spells the 2081 points out: that moves a tenth of the bytes.
 """
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -24,23 +25,28 @@ REST = 64 - LEAD
 POINTS_AT_ONCE = 2_000_000
 
 
-def simhash(text: str | None, size: int = 4) -> int:
-    """Unsigned 64-bit fingerprint: a bit is set if it is in over half of the shingles' hashes."""
+def shingles(text: str | None, size: int = 4) -> np.ndarray:
+    """Unsigned 64-bit hashes of a text's word shingles; of a shorter text, of all its words."""
     found = (text or "").encode().lower().split()  # bytes know only ASCII letters and the six ASCII spaces
     if not found:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = max(1, len(found) - size + 1)
     stops = ends[size - 1 :] if len(found) >= size else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts[:last].tolist(), stops.tolist(), strict=True)), np.uint64, last)
+    return np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts[:last].tolist(), stops.tolist(), strict=True)), np.uint64, last)
+
+
+def simhash(text: str | None, size: int = 4) -> int:
+    """Unsigned 64-bit fingerprint: a bit is set if it is in over half of the shingles' hashes."""
+    hashes = shingles(text, size)
     ones = np.zeros(64, np.int64)
-    for at in range(0, last, 65536):
+    for at in range(0, len(hashes), 65536):
         part = hashes[at : at + 65536]
         ones += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > last).tobytes(), "big")
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -184,11 +190,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         before = state
 
 
-def _grouped(spark: SparkSession, docs: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+def _grouped(spark: SparkSession, prints: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
-    prints = staged(spark, fingerprints(docs), "fingerprints")
+    prints = staged(spark, prints, "fingerprints")
     groups = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(spark, links(spark, groups, distance))
+    roots = components(spark, linked(groups))
     named = groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = staged(spark, named, "groups")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -203,29 +209,37 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, distance: int = 4) ->
     each get their row; rows without doc_id get their group's smallest id, null if
     the group has none. Other columns are ignored; no rows give no rows.
     """
-    prints, of = _grouped(spark, docs, distance)
+    prints, of = _grouped(spark, fingerprints(docs), lambda groups: links(spark, groups, distance))
     return prints.join(of, F.col("fp") == F.col("_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, distance: int = 4) -> DataFrame:
+def one_of_each(
+    spark: SparkSession,
+    docs: DataFrame,
+    distance: int = 4,
+    prints: Callable[..., DataFrame] = fingerprints,
+    linked: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their group: one row with the group's
     smallest doc_id, or one row if none has an id.
 
     An id that one row has is enough to find the row; rows that share an id or have
     none are told apart by their text's fingerprint, made once more for them alone.
+    Other names of texts than fingerprints (``prints``) and other links between them
+    (``linked``) may be given.
     """
-    prints, of = _grouped(spark, docs, distance)
+    named, of = _grouped(spark, prints(docs), linked or (lambda groups: links(spark, groups, distance)))
     rows = boxed(docs).select("_row", "doc_id", "text")
-    times = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("fp"))
+    times = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("fp"))
     single = (F.col("n") == 1) & F.col("doc_id").isNotNull()
     first = times.filter(single).join(of, F.col("fp") == F.col("_fp")).filter("doc_id = component_id").select("doc_id")
     plain = rows.join(first, "doc_id", "left_semi").select("_row")
 
     shared = times.filter(~single).select(F.col("doc_id").alias("_id"))
     odd = rows.join(shared, rows["doc_id"].eqNullSafe(shared["_id"]), "left_semi")
-    odd = fingerprints(odd, ("_row", "doc_id")).join(of, F.col("fp") == F.col("_fp"))
+    odd = prints(odd, ("_row", "doc_id")).join(of, F.col("fp") == F.col("_fp"))
     odd = odd.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("_row")))
     return unboxed(plain.unionByName(odd.withColumn("_rank", rank).filter("_rank = 1").select("_row")))

@@ -363,6 +363,28 @@ def test_one_of_each_keeps_one_row_per_group(spark, odd, none):
 # Pipeline ----------------------------------------------------------------------------
 
 
+def test_near_duplicate_stage_goes_by_five_word_similarity(spark, data):
+    """Edited copies at 0.6 to 1, and a large group around one text, against all pairs."""
+    noise = np.random.default_rng(13)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    docs: list[list[str]] = []
+    for i in range(40):
+        text = list(noise.choice(vocabulary, 150))
+        for edits in (0, 1, 2, 3, 4, 5, 6, 9) if i else (0, *[k % 4 for k in range(120)]):
+            edited = list(text)
+            for at in noise.choice(len(edited), edits, replace=False):
+                edited[at] = f"x{noise.integers(1_000_000)}"
+            docs.append(edited)
+    order = noise.permutation(len(docs))
+    sets = {int(i): {tuple(d[k : k + 5]) for k in range(len(d) - 4)} for i, d in zip(order, docs, strict=True)}
+    near = [(a, b) for a, b in combinations(sorted(sets), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    expected = set(smallest(sorted(sets), near).values())
+    assert 40 < len(expected) < len(docs) - 100
+    table = spark.createDataFrame([(int(i), " ".join(d)) for i, d in zip(order, docs, strict=True)], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, table, data).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(expected)
+
+
 def test_stages_follow_each_other(spark, data, documents):
     docs = documents.withColumn("score", F.lit("x"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
