@@ -1,6 +1,7 @@
 """URL filters: host and path rules, and association rules mined from labelled URLs."""
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -8,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk.llm.text import ascii_lower, whole
+from lakerisk.sources.tables import staged
 
 BAD = "label=bad"
 
@@ -69,26 +71,53 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float, min_confidence: float) -> list[dict]:
+def by_chance(hits: int, n: int, share: float) -> float:
+    """Probability of ``hits`` or more among n rows of which each is bad with probability ``share``.
+    It is under alpha just where the exact lower confidence bound 1 - alpha lies above ``share``."""
+    if not 0 < share < 1:
+        return 1.0
+    total = 0.0
+    for k in range(hits, n + 1):
+        log_p = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share)
+        p = math.exp(log_p)
+        total += p
+        if k > n * share and p < total * 1e-12:
+            break
+    return min(1.0, total)
+
+
+def mine(labelled: DataFrame, min_support: float, min_confidence: float, least: int = 5, alpha: float = 0.05) -> list[dict]:
     """Rules [{if, support, confidence}] that say bad, shortest antecedents first.
 
-    ``labelled`` has url and bad (boolean; null rows are left out). A rule that a rule
-    with fewer of its tokens makes at least as confidently is pruned. Support bounds
-    the result: at most (tokens of a URL choose combination) / min_support rules.
+    ``labelled`` has url and bad (boolean; null rows are left out). A rule needs
+    ``least`` bad rows, and its confidence's exact lower bound must lie above the share of
+    bad rows at the level ``alpha`` divided by the number of token sets that were tried, so
+    that not even one rule is expected by chance, however small or large the table is; ``min_support``
+    may ask for a share of the rows besides. A rule that a rule with fewer of its tokens
+    makes at least as confidently is pruned. Tokens of every row tell nothing and are left out.
     """
-    rows = labelled.filter("bad is not null and url is not null").select(
-        F.concat(tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")
-    )
-    rows = rows.filter(F.size("items") > 0)
-    if rows.isEmpty():
+    rows = labelled.filter("bad is not null and url is not null").select("bad", tokens(F.col("url")).alias("items"))
+    rows = staged(labelled.sparkSession, rows.filter(F.size("items") > 0), "labelled")
+    n, bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    if bad < least:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
-    found = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
+    seen = rows.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    common = F.array(*map(F.lit, sorted(r["token"] for r in seen.filter(F.col("n") == n).collect()))).cast("array<string>")
+    told = F.concat(F.array_except("items", common), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
+    support = (max(least, min_support * n) - 0.5) / n  # FP-growth rounds the count up
+    model = FPGrowth(itemsCol="items", minSupport=support).fit(rows.select(told.alias("items")))
+    sets = staged(labelled.sparkSession, model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    plain = sets.filter(~F.array_contains("items", BAD))
+    tried = max(1, plain.count())
+    hits = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("hits"))
+    found = plain.join(hits, "items").filter((F.col("hits") >= min_confidence * F.col("freq")) & (F.col("hits") * n > F.col("freq") * bad))
     best: list[dict] = []
-    for r in sorted(found.collect(), key=lambda r: (len(r["antecedent"]), sorted(r["antecedent"]))):
-        items = set(r["antecedent"])
-        if not any(set(k["if"]) <= items and k["confidence"] >= r["confidence"] for k in best):
-            best.append({"if": sorted(items), "support": r["support"], "confidence": r["confidence"]})
+    for r in sorted(found.collect(), key=lambda r: (len(r["items"]), r["items"])):
+        items, confidence = set(r["items"]), r["hits"] / r["freq"]
+        if any(set(k["if"]) <= items and k["confidence"] >= confidence for k in best):
+            continue
+        if by_chance(r["hits"], r["freq"], bad / n) * tried < alpha:
+            best.append({"if": sorted(items), "support": r["hits"] / n, "confidence": confidence})
     return best
 
 
@@ -113,7 +142,7 @@ def judge(
     pages: DataFrame,
     labelled: DataFrame,
     rules: list[Rule],
-    min_support: float = 0.002,
+    min_support: float = 0.0,
     min_confidence: float = 0.6,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of ``pages`` (page_id, url).

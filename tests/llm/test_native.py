@@ -1,9 +1,11 @@
 """Chat formatting, quality rules, URL filters and order MinHash against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakerisk.llm import chat, fingerprints, quality, urls
@@ -133,6 +135,34 @@ def test_mined_rules_match_brute_force(spark):
     assert [r.b for r in got] == [any(set(r["if"]) <= s for r in mined) for s, _ in sets]
 
 
+@pytest.mark.parametrize("n", [300, 3000])
+def test_no_rules_by_chance(spark, n):
+    """Labels that have nothing to do with the URLs."""
+    noise = random.Random(4)
+    rows = [(f"http://h{noise.randrange(n // 6)}.com/{'win' if i % 2 else 'read'}/{i}?p={i % 5}", noise.random() < 0.25) for i in range(n)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    assert urls.mine(labelled, 0.0, 0.6) == []
+    pages = labelled.selectExpr("0L as page_id", "url")
+    assert urls.judge(spark, pages, labelled, []).filter("verdict = 'block'").count() == 0
+
+
+def test_rules_do_not_depend_on_the_size_of_the_table(spark):
+    """A bad host with 15 rows is found beside 300 others and beside 20,000."""
+    for n in (300, 20_000):
+        rows = [(f"http://h{i % 50}.com/read/{i}", i % 4 == 0) for i in range(n)]
+        rows += [(f"http://casino-win.com/read/{i}", True) for i in range(15)]
+        pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad boolean")
+        mined = urls.mine(pages, 0.0, 0.9)
+        assert [r["if"] for r in mined] == [["h:casino-win"]]
+        got = urls.judge(spark, pages.drop("bad"), pages.select("url", "bad"), []).filter("verdict = 'block'")
+        assert {r.host for r in got.collect()} >= {"casino-win.com"} and got.filter("host = 'casino-win.com'").count() == 15
+
+
+def test_chance_of_hits():
+    assert urls.by_chance(3, 3, 0.5) == pytest.approx(1 / 8) and urls.by_chance(0, 9, 0.2) == pytest.approx(1)
+    assert urls.by_chance(2, 3, 0.25) == pytest.approx(3 / 64 * 3 + 1 / 64)
+
+
 def slow_fingerprint(texts, scheme):
     """Order MinHash in plain Python over hashes that Spark made of the k-mers."""
     import xxhash
