@@ -218,6 +218,26 @@ def test_hidden_words_are_restored(toxic_model, said):
     assert toxic_model.score(f"the other thing, {said} and words") >= 0.3
 
 
+@pytest.mark.parametrize(
+    "said",
+    ["nice,idiot", "nice/idiot", "the—idiot", "thing,1d10t,other", "other/m0r0n", "thing:idiot;words", "_".join(["thing"] * 100 + ["idiot"]), ".".join(["other"] * 100 + ["m0r0n"] + ["words"] * 50), ",".join(["thing"] * 200 + ["$tup1d"])],
+)
+def test_words_in_long_and_joined_tokens_are_found(toxic_model, said):
+    assert toxic_model.score(f"the other thing {said} words") >= 0.3
+
+
+def test_tokens_without_letters_are_decoded(spark):
+    """A word that digits and signs alone can spell."""
+    noise = np.random.default_rng(11)
+    clean = "the thing and other words of no harm stand in this sentence with some more of them".split()
+    rows = [(i, " ".join(noise.choice(clean, 20)), 0) for i in range(400)]
+    rows += [(1000 + i, f"{' '.join(noise.choice(clean, 8))} sless {' '.join(noise.choice(clean, 8))}", 1) for i in range(120)]
+    model = toxicity.fit(spark, spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert model.score("the other sless thing") >= 0.3
+    assert model.score("the other 51355 thing") >= 0.3 and model.score("the other $1€5$ thing") >= 0.3
+    assert model.score("the other 2024 thing, 10,000 and 3.5") < 0.3
+
+
 @pytest.mark.parametrize("said", ["", None, "the other 123 words 4-5", "a b c d e f", "x" * 100_000, "1 2 3 4 5 6", "!!! $$$ ***", "thing thing", "10% of 3.5"])
 def test_clean_texts_stay(toxic_model, said):
     assert 0 <= toxic_model.score(said) < 0.3
