@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import bpe, chat, fingerprints, langid, lm, packing, quality, simhash, toxicity, urls
+from lakerisk.llm import bpe, chat, fingerprints, langid, lm, packing, quality, repeats, simhash, toxicity, urls
 from lakerisk.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,11 @@ def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def op10_order_minhash(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.compare_edited(_table(spark, d, "documents"))
+
+
+@_query
+def op11_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(spark, _table(spark, d, "documents")))
+
+
+ORACLES["op11_substring_dedup"] = repeats.ORACLE
