@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import bpe, chat, fingerprints, langid, lm, packing, quality, repeats, simhash, toxicity, urls
+from lakerisk.llm import bpe, chat, fingerprints, langid, lm, packing, quality, ranked, repeats, simhash, spelling, toxicity, urls
 from lakerisk.llm.text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,19 @@ def op11_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLES["op11_substring_dedup"] = repeats.ORACLE
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked.search(spark, _table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+ORACLES["op12_ranked_search"] = ranked.ORACLE
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.group_spellings(spark, _table(spark, d, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = spelling.ORACLE
