@@ -197,7 +197,7 @@ def brute_spelling(rows):
 
 
 def test_spelling_matches_brute_force(spark, texts):
-    chain = [(2_000_000 + i, " ".join(["qzxwvkjpb"] * 1000 + ["qzxwvkjp"] * 150 + ["qzxwvkj"] * 25 + ["qzxwvk"] * 5)) for i in range(3)]
+    chain = [(3_000_001 + i, " ".join(["qzxwvkjpb"] * 1000 + ["qzxwvkjp"] * 150 + ["qzxwvkj"] * 25 + ["qzxwvk"] * 5)) for i in range(3)]
     docs = texts.unionByName(spark.createDataFrame(chain, "doc_id long, text string")).withColumn("word", F.lit(1)).withColumn("n", F.lit("x"))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = sorted(((r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in spelling.group_spellings(spark, docs).collect()), key=str)
