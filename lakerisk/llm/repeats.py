@@ -27,7 +27,7 @@ HELD = 1_000_000
 #: Words of one text that are hashed at once.
 STRETCH = 1 << 16
 #: Words whose hashes a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 1 << 17
 #: Places of the filter that lets texts without repeats skip the join: the bound of what is broadcast.
 PLACES = 1 << 20
 #: Stands for a null id: larger than any id.
