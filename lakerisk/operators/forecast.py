@@ -70,6 +70,11 @@ def forecast(
     fitted = having_min_events(ols_by_key(history, "id_wilayah", "recorded_at", score_col, newest_by))
     if latest is not None:
         fitted = fitted.join(latest.select("id_wilayah", F.col("risk_score").alias("last_y")), "id_wilayah", "left")
+    return project(fitted, horizon_days, threshold, per_second)
+
+
+def project(fitted: DataFrame, horizon_days: int, threshold: float, per_second: bool) -> DataFrame:
+    """The lines (n, last_ts, last_y, slope, intercept) of ``fitted`` extended beyond their last event."""
     at = F.unix_timestamp("last_ts") + F.lit(horizon_days * DAY)
     raw = F.col("intercept") + F.col("slope") * at / F.lit(float(DAY))
     slope = F.col("slope") / F.lit(float(DAY)) if per_second else F.col("slope")

@@ -21,6 +21,11 @@ def _newest(order_cols: Sequence[str]) -> list[Column]:
     return [F.desc_nulls_last(c) for c in order_cols]
 
 
+def newest_first() -> list[Column]:
+    """Order of a unit's events: newest first, equal times by event id."""
+    return _newest(NEWEST)
+
+
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None
 ) -> DataFrame:

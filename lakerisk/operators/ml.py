@@ -224,10 +224,8 @@ def metrics_row(
     return renamed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.METRICS])
 
 
-def kmeans_pipeline(k: int = 4, cols: Sequence[str] = V.INDICATORS, scaled: bool = True) -> Pipeline:
+def kmeans_pipeline(k: int = 4, cols: Sequence[str] = V.INDICATORS) -> Pipeline:
     means = KMeans(k=k, seed=SEED, maxIter=20, featuresCol="features", predictionCol="cluster_id")
-    if not scaled:
-        return Pipeline(stages=[feature_stage(cols), means])
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     return Pipeline(stages=[feature_stage(cols, "raw_features"), scaler, means])
 
@@ -237,12 +235,17 @@ def kmeans_input(latest: DataFrame, cols: Sequence[str] = V.INDICATORS) -> DataF
 
 
 def fit_kmeans(latest: DataFrame, k: int = 4) -> tuple[PipelineModel, DataFrame] | None:
-    """(model, assigned rows), or None when no indicator exists or fewer than k units do."""
+    """(model, assigned rows), or None when no indicator exists, fewer than k units do, or all answer alike.
+
+    Units of fewer than k kinds get a cluster for each kind: the fit needs as many different points."""
     cols = present(latest, V.INDICATORS)
     rows = kmeans_input(latest, cols) if cols else None
     if rows is None or len(rows.select("id_wilayah").take(k)) < k:
         return None
-    model = kmeans_pipeline(k, cols).fit(rows)
+    kinds = len(rows.select(*cols).distinct().take(k))
+    if kinds < 2:
+        return None
+    model = kmeans_pipeline(kinds, cols).fit(rows)
     return model, model.transform(rows)
 
 

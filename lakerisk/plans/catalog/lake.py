@@ -127,9 +127,8 @@ def _grown(app: str, d: str) -> M.Lakehouse:
     M.silver_to_gold(spark, lake)
     newer = log.filter(F.col("recorded_at") > middle)
     tables.append_table(newer, lake.path(M.SURVEY))
-    keys = newer.select("id_wilayah").distinct()
-    M.bronze_to_silver(spark, lake, keys)
-    M.silver_to_gold(spark, lake, keys)
+    M.fold_events(spark, lake, newer)
+    M.silver_to_gold(spark, lake, newer.select("id_wilayah").distinct())
     return lake
 
 

@@ -25,12 +25,12 @@ def _publish(rows: DataFrame, text: Column | None = None) -> str:
     return path
 
 
-def _consume(spark: SparkSession, folder: str, table=schemas.SURVEY, typed=ingest.typed_survey) -> tuple[DataFrame, DataFrame]:
+def _consume(spark: SparkSession, folder: str, table=schemas.SURVEY, typed=ingest.typed_survey, strict=False) -> tuple[DataFrame, DataFrame]:
     """(bronze rows, quarantine) after the stream has read the whole folder."""
     out = scratch_path(spark, "bronze")
     bad = scratch_path(spark, "quarantine")
     messages = files.read_events(spark, folder, table)
-    for running in ingest.stream_to_bronze(messages, table, typed, out, bad, scratch_path(spark, "checkpoint")):
+    for running in ingest.stream_to_bronze(messages, table, typed, out, bad, scratch_path(spark, "checkpoint"), strict=strict):
         running.awaitTermination()
     schema = typed(spark.createDataFrame([], schemas.message_schema(table))).schema
     return spark.read.schema(schema).parquet(out), spark.read.schema("message STRING, reasons ARRAY<STRING>").parquet(bad)

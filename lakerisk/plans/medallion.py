@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from lakerisk import schemas
 from lakerisk import vocabulary as V
-from lakerisk.operators import features, forecast, geo, history, ml, ranking, scoring
+from lakerisk.operators import features, geo, history, ml, ranking, scoring, unit_state
+from lakerisk.operators.clusters import Clusters, model_table
 from lakerisk.operators.joins import register_units, scope_by_area, scope_by_keys
 from lakerisk.operators.upsert import upsert
-from lakerisk.sources import tables
+from lakerisk.sources import idindex, tables
 
 AREA_PARTITION = ("kelurahan",)
 UNIT_ORDER = ("id_wilayah", "recorded_at")
@@ -35,11 +36,11 @@ class Lakehouse:
 
 SURVEY, UNITS, SECONDARY = "bronze/survey_events", "bronze/master_wilayah", "bronze/secondary_sources"
 HISTORY, LATEST, FEATURES = "silver/event_history", "silver/latest_indicators", "silver/feature_matrix"
-UNIT_MAP = "silver/unit_map"
+UNIT_MAP, UNIT_STATE, EVENT_IDS = "silver/unit_map", "silver/unit_state", "silver/event_ids"
 GROUND_TRUTH, POPULATION, METRICS = "silver/ground_truth", "silver/population", "silver/model_metrics"
 RISK, PREDICTION, TREND = "gold/slum_risk_score", "gold/slum_prediction", "gold/slum_trend"
 FACTORS, PRIORITY = "gold/dominant_factors", "gold/intervention_priority"
-CLUSTERS, FORECAST = "gold/slum_clusters", "gold/slum_forecast"
+CLUSTERS, FORECAST, CLUSTER_MODEL = "gold/slum_clusters", "gold/slum_forecast", "gold/cluster_model"
 
 FACTOR_COLUMNS = [f"{kind}_{i}" for kind in ("top_faktor", "skor_faktor") for i in (1, 2, 3)]
 PRIORITY_COLUMNS = [
@@ -141,36 +142,108 @@ def bronze_to_silver(
         if labels_changed:
             refresh_ground_truth(spark, lake)
         return
-    incremental = keys is not None and _exists(spark, lake, HISTORY, LATEST, FEATURES)
+    incremental = keys is not None and _folds(spark, lake)
     scope = keys if incremental else None
     units = _units(spark, lake)
     past = event_history(scope_by_keys(survey_log(spark, lake), scope), units)
 
     if not incremental:
         tables.write_table(past, lake.path(HISTORY), AREA_PARTITION, UNIT_ORDER)
-        latest = latest_of_history(_read(spark, lake, HISTORY), units)
-        tables.write_table(latest, lake.path(LATEST), AREA_PARTITION, UNIT_ORDER)
-        tables.write_table(features.feature_matrix(_read(spark, lake, LATEST)), lake.path(FEATURES))
-        if units is not None:
+        stored = _read(spark, lake, HISTORY)
+
+        def snapshot() -> None:
+            tables.write_table(latest_of_history(stored, units), lake.path(LATEST), AREA_PARTITION, UNIT_ORDER)
+            tables.write_table(features.feature_matrix(_read(spark, lake, LATEST)), lake.path(FEATURES))
+
+        def places() -> None:
             tables.write_table(features.population(units), lake.path(POPULATION))
             geo.unit_map(units).write.mode("overwrite").parquet(lake.path(UNIT_MAP))
-        refresh_ground_truth(spark, lake)
+
+        tables.together(
+            snapshot,
+            lambda: tables.write_table(_stamped(unit_state.event_state(stored)), lake.path(UNIT_STATE)),
+            lambda: idindex.build(spark, lake.path(EVENT_IDS), stored.select("event_id")),
+            lambda: refresh_ground_truth(spark, lake),
+            *([places] if units is not None else []),
+        )
         return
 
     past = tables.staged(spark, past, "history")
-    latest = tables.staged(spark, latest_of_history(past, units), "latest")
-    before = scope_by_keys(_read(spark, lake, LATEST), scope).select(*V.AREA_KEYS)
-    touched = tables.staged(spark, before.unionByName(latest.select(*V.AREA_KEYS)).distinct(), "areas")
-    # A unit's rows leave the NULL area when it is registered and never move again.
-    where = {"partition_cols": AREA_PARTITION, "sort_cols": UNIT_ORDER, "keys_move": False}
-    tables.merge_table(spark, lake.path(HISTORY), past, ["event_id"], update_matches=False, **where)
-    tables.merge_table(spark, lake.path(LATEST), latest, ["id_wilayah"], unique_source=True, **where)
-    matrix = features.feature_matrix(scope_by_area(_read(spark, lake, LATEST), touched))
-    tables.merge_table(spark, lake.path(FEATURES), matrix, list(V.AREA_KEYS), null_safe=True, unique_source=True)
+    before = scope_by_keys(_read(spark, lake, LATEST), scope)
+    tables.merge_table(spark, lake.path(HISTORY), past, ["event_id"], update_matches=False, **HISTORY_LAYOUT)
+    _merge_latest(spark, lake, latest_of_history(past, units), before)
+    tables.merge_table(
+        spark, lake.path(UNIT_STATE), _stamped(unit_state.event_state(past)), ["id_wilayah"], null_safe=True, unique_source=True
+    )
+    ids = past.select("event_id").filter(F.col("event_id").isNotNull())
+    known = idindex.find(spark, lake.path(EVENT_IDS), ids)
+    if known is not None:
+        ids = tables.staged(spark, ids.join(known.select(F.col("id").alias("event_id")), "event_id", "left_anti"), "ids")
+    idindex.add(spark, lake.path(EVENT_IDS), ids)
     if labels_changed:
         refresh_ground_truth(spark, lake)
 
 
+# A unit's rows leave the NULL area when it is registered and never move again.
+HISTORY_LAYOUT = {"partition_cols": AREA_PARTITION, "sort_cols": UNIT_ORDER, "keys_move": False}
+
+
+def _folds(spark: SparkSession, lake: Lakehouse) -> bool:
+    """Whether a full silver run has left all that an incremental one builds on."""
+    return _exists(spark, lake, HISTORY, LATEST, FEATURES, UNIT_STATE) and idindex.exists(spark, lake.path(EVENT_IDS))
+
+
+def _stamped(state: DataFrame, batch: str | None = None) -> DataFrame:
+    """Unit states with the name of the batch folded in last."""
+    return state.withColumn("folded", F.lit(batch).cast("string"))
+
+
+def _merge_latest(spark: SparkSession, lake: Lakehouse, latest: DataFrame, before: DataFrame) -> None:
+    """Store new snapshots and the features of the areas their units are in or were in (``before``)."""
+    was = before.select("id_wilayah", *[F.col(c).alias(f"_was_{c}") for c in V.AREA_KEYS])
+    moved = tables.staged(spark, latest.join(was, "id_wilayah", "left"), "latest")
+    latest = moved.drop(*was.columns[1:])
+    touched = latest.select(*V.AREA_KEYS).unionByName(moved.select(*[F.col(f"_was_{c}").alias(c) for c in V.AREA_KEYS])).distinct()
+    tables.merge_table(spark, lake.path(LATEST), latest, ["id_wilayah"], unique_source=True, stored_source=True, **HISTORY_LAYOUT)
+    matrix = features.feature_matrix(scope_by_area(_read(spark, lake, LATEST), touched))
+    tables.merge_table(spark, lake.path(FEATURES), matrix, list(V.AREA_KEYS), null_safe=True, unique_source=True)
+
+
+def fold_events(spark: SparkSession, lake: Lakehouse, events: DataFrame, batch: str | None = None) -> None:
+    """Bring the silver tables up to date with a batch of the log, reading neither the log nor the history.
+
+    Events whose id the history holds, by the id index, change nothing. New ones are appended
+    to it, and the stored snapshots and states of their units are merged with the batch's own; late
+    events count in the state and leave newer snapshots alone. A call repeated after a failure
+    under the same ``batch`` name goes on where the first one ended. Batches are folded one at a
+    time. Without stored silver tables this is a full run over the log.
+    """
+    if not _folds(spark, lake):
+        bronze_to_silver(spark, lake)
+        return
+    units = _units(spark, lake)
+    rows = history.dedup_events(events)
+    scored = tables.staged(spark, scoring.score_and_level(features.enrich_events(rows, units), "_saat_itu"), "batch")
+    batch = batch or idindex.name_of(scored, "event_id")
+    fresh = idindex.insert_new(spark, lake.path(HISTORY), lake.path(EVENT_IDS), scored, "event_id", batch, AREA_PARTITION, UNIT_ORDER, stored_rows=True)
+    if fresh.isEmpty():
+        return
+    raw = rows.columns
+
+    def snapshot() -> None:
+        stored = scope_by_keys(_read(spark, lake, LATEST), fresh)
+        both = fresh.select(*raw).unionByName(stored.select(*scoring.present(stored, raw)), allowMissingColumns=True)
+        _merge_latest(spark, lake, latest_with_place(both, units), stored)
+
+    def state() -> None:
+        states = _read(spark, lake, UNIT_STATE)
+        todo = fresh.join(states.filter(F.col("folded") == batch), "id_wilayah", "left_anti")
+        merged = unit_state.merge_state(scope_by_keys(states, todo), unit_state.event_state(todo))
+        tables.merge_table(spark, lake.path(UNIT_STATE), _stamped(merged, batch), ["id_wilayah"], null_safe=True, unique_source=True)
+
+    tables.together(snapshot, state)
+
+
 def train(
     spark: SparkSession, lake: Lakehouse, trees: int = 8, depth: int = 3, folds: int = 3
 ) -> PipelineModel | None:
@@ -236,7 +309,9 @@ def silver_to_gold(
 
     Without a model the latest stored one predicts, in full and incremental runs
     alike; the risk rule does only where none is stored or ``"rule"`` is asked for.
-    Rank and clusters compare all units, so they are always computed over all.
+    The rank compares all units and is computed over all of them. Clusters are fitted in full runs,
+    and in others once there are many more units; in between, changed units go to the
+    nearest stored centre.
     """
     if not _exists(spark, lake, LATEST):
         return
@@ -249,30 +324,42 @@ def silver_to_gold(
     units = _units(spark, lake)
     latest = _read(spark, lake, LATEST)
 
+    kept = Clusters(_read(spark, lake, CLUSTER_MODEL)) if incremental and _exists(spark, lake, CLUSTER_MODEL) else None
+    if kept is not None and kept.due(latest, k):
+        kept = None
     fresh = gold_units(scope_by_keys(latest, scope), units, model).withColumn("last_updated", F.current_timestamp())
+    if kept is not None:
+        fresh = kept.assign(fresh)
     if incremental:
-        stored = _read(spark, lake, RISK).drop("prioritas_rank", "cluster_id", "cluster_rank", "cluster_label")
-        fresh = upsert(stored, fresh, ["id_wilayah"])
+        fresh = upsert(_read(spark, lake, RISK).drop("prioritas_rank"), fresh, ["id_wilayah"])
     # Written once and read by every step below: ranking and the gold tables.
     base = tables.staged(spark, fresh, "gold_units")
 
-    clustered = ml.fit_kmeans(latest, k)
-    assignment = ml.label_clusters(clustered[1]) if clustered else None
-    ranked = ranking.priority_rank(ml.attach_clusters(base, assignment))
-    tables.write_table(ranked, lake.path(RISK), AREA_PARTITION, UNIT_ORDER)
+    if kept is None:
+        fitted = ml.fit_kmeans(latest, k)
+        base = ml.attach_clusters(base, ml.label_clusters(fitted[1]) if fitted else None)
+        if fitted:
+            # Few rows, made before the table they may come from is replaced.
+            tables.write_table(tables.staged(spark, model_table(*fitted), "clusters"), lake.path(CLUSTER_MODEL))
+            kept = Clusters(_read(spark, lake, CLUSTER_MODEL))
+    tables.write_table(ranking.priority_rank(base), lake.path(RISK), AREA_PARTITION, UNIT_ORDER)
     gold = _read(spark, lake, RISK)
+    state = scope_by_keys(_read(spark, lake, UNIT_STATE), scope)
 
-    tables.write_table(
-        gold.select("id_wilayah", *V.AREA_KEYS, "label_prediksi", "proba_kumuh", "last_updated"), lake.path(PREDICTION)
-    )
-    tables.write_table(gold.select("id_wilayah", *V.AREA_KEYS, *FACTOR_COLUMNS), lake.path(FACTORS))
-    tables.write_table(gold.select(*PRIORITY_COLUMNS), lake.path(PRIORITY))
-    if clustered:
-        tables.write_table(ml.cluster_summary(clustered[1]), lake.path(CLUSTERS))
-
-    past = scope_by_keys(_read(spark, lake, HISTORY), scope)
-    for name, rows in ((TREND, history.trend(past)), (FORECAST, forecast.forecast(past, latest=latest))):
+    def per_unit(name: str, rows: DataFrame) -> None:
         if incremental:
             tables.merge_table(spark, lake.path(name), rows, ["id_wilayah"], unique_source=True)
         else:
             tables.write_table(rows, lake.path(name))
+
+    predicted = gold.select("id_wilayah", *V.AREA_KEYS, "label_prediksi", "proba_kumuh", "last_updated")
+    jobs = [
+        lambda: tables.write_table(predicted, lake.path(PREDICTION)),
+        lambda: tables.write_table(gold.select("id_wilayah", *V.AREA_KEYS, *FACTOR_COLUMNS), lake.path(FACTORS)),
+        lambda: tables.write_table(gold.select(*PRIORITY_COLUMNS), lake.path(PRIORITY)),
+        lambda: per_unit(TREND, unit_state.trend_of(state)),
+        lambda: per_unit(FORECAST, unit_state.forecast_of(state)),
+    ]
+    if kept is not None:
+        jobs.append(lambda: tables.write_table(kept.summary(gold), lake.path(CLUSTERS)))
+    tables.together(*jobs)

@@ -77,10 +77,14 @@ AREA_POPULATION = {
 }
 
 
+#: Fields of a message beside the table's: the sender's key of a survey or an upload, and the row in it.
+MESSAGE_KEYS = ("idempotency_key", "row_number")
+
+
 def message_schema(table: T.StructType) -> T.StructType:
     """Schema for reading one JSON message of a table: every field as text.
 
     Text first, typed later: a bad cell then costs its record a reason in the
     quarantine instead of the whole file.
     """
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in table])
+    return T.StructType([T.StructField(name, T.StringType()) for name in (*table.fieldNames(), *MESSAGE_KEYS)])

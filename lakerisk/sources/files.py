@@ -1,28 +1,49 @@
 """CSV input, JSON message streams, and CSV / GeoJSON output."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakerisk import schemas
 from lakerisk import vocabulary as V
 from lakerisk.functions import text as X
-from lakerisk.operators.quality import conform_secondary, with_raw_json
+from lakerisk.operators.quality import conform_secondary
 
 
-def read_secondary_csv(spark: SparkSession, path: str, source_type: str) -> DataFrame:
+def numbered_rows(rows: DataFrame, name: str = "row_number") -> DataFrame:
+    """Rows read from files with their place in their file, from 0, however the files were split.
+
+    Row ids rise inside a block of a file; the counts of a file's earlier blocks, one row per block,
+    are added.
+    """
+    block = ["_file", "_start"]
+    at = rows.withColumns({"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_id": F.monotonically_increasing_id()})
+    blocks = at.groupBy(*block).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*block, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return at.join(offsets, block).withColumn(name, F.col("_id") + F.col("_shift")).select(*rows.columns, name)
+
+
+def read_secondary_csv(spark: SparkSession, path: str, source_type: str, idempotency_key: str | None = None) -> DataFrame:
     """One of the four secondary CSV layouts in the common secondary schema.
 
-    batch_id hashes the record's content, so the same row read again, in any
-    order or partition, gets the same id.
+    batch_id is made of the upload's ``idempotency_key`` and the row's place in its file, or without a
+    key of the record's content, so that the same row read again, in any order or partition,
+    gets the same id.
     """
     if source_type not in V.SECONDARY_TYPES:
         raise ValueError(f"unknown source_type {source_type!r}")
     rows = spark.read.csv(path, header=True, schema=schemas.SECONDARY_CSV[source_type])
-    raw = with_raw_json(rows).withColumn("source_type", F.lit(source_type))
+    if idempotency_key:
+        rows = numbered_rows(rows, "_row")
+    raw = rows.withColumn("raw_data", F.to_json(F.struct(*[c for c in rows.columns if c != "_row"]), X.JSON_OPTIONS))
+    raw = raw.withColumn("source_type", F.lit(source_type))
     if "tahun" in raw.columns:
         raw = raw.withColumnRenamed("tahun", "tahun_data")
-    content = F.concat_ws(":", F.lit("secondary"), F.col("source_type"), F.col("raw_data"))
+    content = [F.col("source_type"), F.col("raw_data")]
+    if idempotency_key:
+        content = [F.lit(idempotency_key), F.col("_row").cast("string")]
+    content = F.concat_ws(":", F.lit("secondary"), *content)
     stamped = raw.withColumns(
         {
             "batch_id": X.uuid5(X.NAMESPACE_URL, content),

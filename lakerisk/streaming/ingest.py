@@ -9,12 +9,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lakerisk import schemas
 from lakerisk import vocabulary as V
-from lakerisk.functions.text import NAMESPACE_URL, parse_ts, uuid5
+from lakerisk.functions.text import JSON_OPTIONS, NAMESPACE_URL, parse_ts, uuid5
 from lakerisk.operators.history import latest_per_key
 from lakerisk.operators.joins import affected_ids
-from lakerisk.operators.quality import conform_secondary, conform_survey, with_raw_json
+from lakerisk.operators.quality import conform_secondary, conform_survey
 from lakerisk.plans import medallion as M
-from lakerisk.sources import tables
+from lakerisk.sources import idindex, tables
 
 CORRUPT = "_corrupt_record"
 BATCH = "ingest_batch"
@@ -43,21 +43,31 @@ def split_corrupt(
     messages: DataFrame, table: T.StructType, required: tuple[str, ...] = ("id_wilayah",)
 ) -> tuple[DataFrame, DataFrame]:
     """(good messages, rejected messages as raw text with reasons)"""
-    fields = table.fieldNames()
+    fields = [*table.fieldNames(), *[c for c in schemas.MESSAGE_KEYS if c in messages.columns]]
     checked = messages.withColumn("reasons", message_reasons(table, required))
     good = checked.filter(F.size("reasons") == 0).select(*fields)
     raw = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields)))
     return good, checked.filter(F.size("reasons") > 0).select(raw.alias("message"), "reasons")
 
 
+def _keyed(good: DataFrame, name: str, parts: tuple[str, ...], content: Column) -> Column:
+    """Name an id is made of: the sender's key where the message has one, else the content."""
+    if not set(parts) <= set(good.columns):
+        return content
+    key = F.nullif(F.col(parts[0]), F.lit(""))
+    more = [F.concat(F.lit(":"), F.col(c)) for c in parts[1:]]
+    return F.coalesce(F.concat(F.lit(f"{name}:"), key, *more), content)
+
+
 def typed_survey(good: DataFrame) -> DataFrame:
-    """Survey rows. A message without an id gets one from its content, so that a
-    redelivery gets the same; one without a time is taken as recorded now."""
+    """Survey rows. A message without an id gets one from its idempotency_key, so that a second try gets
+    the same whatever else it says, or else from its content; one without a time is taken as recorded now."""
     content = F.concat(F.lit("survey:"), F.to_json(F.struct(*schemas.SURVEY.fieldNames())))
+    name = _keyed(good, "survey", ("idempotency_key",), content)
     return conform_survey(
         good.withColumns(
             {
-                "event_id": F.coalesce("event_id", uuid5(NAMESPACE_URL, content)),
+                "event_id": F.coalesce("event_id", uuid5(NAMESPACE_URL, name)),
                 "recorded_at": F.coalesce(parse_ts(F.col("recorded_at")), F.current_timestamp()),
             }
         )
@@ -65,13 +75,17 @@ def typed_survey(good: DataFrame) -> DataFrame:
 
 
 def typed_secondary(good: DataFrame) -> DataFrame:
-    """Secondary rows with the sender's time kept as accepted_at and the reading time as ingested_at."""
-    raw = with_raw_json(good.drop("raw_data", "accepted_at"))
-    content = F.concat(F.lit("secondary:"), F.col("raw_data"))
+    """Secondary rows with the sender's time kept as accepted_at and the reading time as ingested_at.
+
+    A row without a batch_id gets one from the upload's idempotency_key and the row_number in it
+    (from 0), or else from its content."""
+    said = [c for c in good.columns if c not in ("raw_data", "accepted_at", *schemas.MESSAGE_KEYS)]
+    raw = good.withColumn("raw_data", F.to_json(F.struct(*said), JSON_OPTIONS))
+    name = _keyed(good, "secondary", schemas.MESSAGE_KEYS, F.concat(F.lit("secondary:"), F.col("raw_data")))
     return conform_secondary(
         raw.withColumns(
             {
-                "batch_id": F.coalesce("batch_id", uuid5(NAMESPACE_URL, content)),
+                "batch_id": F.coalesce("batch_id", uuid5(NAMESPACE_URL, name)),
                 "source_type": F.coalesce("source_type", F.lit("unknown")),
                 "accepted_at": F.col("ingested_at"),
                 "ingested_at": F.current_timestamp(),
@@ -84,12 +98,13 @@ def unique_sink(spark: SparkSession, path: str, key: str = "event_id") -> Callab
     """foreachBatch function: insert events whose key the table does not hold.
 
     However late an event or its repetition arrives, the event is kept and the
-    repetition is not; a batch that is run again inserts nothing twice.
+    repetition is not; a batch that is run again inserts nothing twice. The index beside
+    the table says which keys it holds, so batches of new events read none of it.
     """
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, key, ("recorded_at",))
-        tables.merge_table(spark, path, rows, [key], update_matches=False)
+        idindex.insert_new(spark, path, f"{path}-ids", rows, key, _batch_name(spark, batch_id))
 
     return insert
 
@@ -109,11 +124,12 @@ def stream_to_bronze(
     quarantine: str,
     checkpoint: str,
     interval: str | None = None,
+    strict: bool = False,
 ) -> list[StreamingQuery]:
     """Good rows to bronze, rejected messages to quarantine, each micro-batch in a folder of its
     own that a repeated batch replaces. Files that batch loads and other streams wrote there
-    stay, and stay readable."""
-    good, bad = split_corrupt(messages, table, _required(table))
+    stay, and stay readable. ``strict`` asks surveys for all scores."""
+    good, bad = split_corrupt(messages, table, _required(table, strict))
 
     def into(path: str) -> Callable[[DataFrame, int], None]:
         return lambda batch, batch_id: _store_batch(batch.sparkSession, batch, path, batch_id) and None
@@ -124,8 +140,10 @@ def stream_to_bronze(
     ]
 
 
-def _required(table: T.StructType) -> tuple[str, ...]:
-    return ("id_wilayah",) if table == schemas.SURVEY else ()
+def _required(table: T.StructType, strict: bool = False) -> tuple[str, ...]:
+    if table != schemas.SURVEY:
+        return ()
+    return ("id_wilayah", *V.INDICATORS) if strict else ("id_wilayah",)
 
 
 def _batch_name(spark: SparkSession, batch_id: int) -> str:
@@ -141,6 +159,7 @@ def _store_batch(spark: SparkSession, rows: DataFrame, path: str, batch_id: int)
     batch replaces its partition instead of adding rows twice."""
     name = _batch_name(spark, batch_id)
     stamped = rows.withColumn(BATCH, F.lit(name))
+    tables.record_schema(rows, path)
     writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BATCH).parquet(path)
     schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.StringType())])
@@ -157,21 +176,22 @@ def needs_training(batch: DataFrame) -> bool:
     return not batch.filter(F.col("source_type") == "ground_truth").isEmpty()
 
 
-def survey_refresh(spark: SparkSession, lake: M.Lakehouse, load_model: Callable = lambda: None):
+def survey_refresh(spark: SparkSession, lake: M.Lakehouse, load_model: Callable = lambda: None, strict: bool = False):
     """foreachBatch function: store a micro-batch of surveys, then refresh its units.
 
-    Silver and gold of the affected units are recomputed from bronze, so a late
-    event enters the history without displacing a newer snapshot.
+    The batch is folded into the stored silver tables, so a late event enters the history
+    without displacing a newer snapshot, and nothing but the batch is read of the log. ``strict``
+    turns away surveys that lack a score.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_corrupt(batch, schemas.SURVEY)
+        good, bad = split_corrupt(batch, schemas.SURVEY, _required(schemas.SURVEY, strict))
         _store_batch(spark, bad, lake.path("bronze/survey_rejects"), batch_id)
         stored = _store_batch(spark, typed_survey(good), lake.path(M.SURVEY), batch_id)
         keys = affected_keys(stored)
         if keys.isEmpty():
             return
-        M.bronze_to_silver(spark, lake, keys)
+        M.fold_events(spark, lake, stored, _batch_name(spark, batch_id))
         M.silver_to_gold(spark, lake, keys, load_model())
 
     return refresh
