@@ -34,7 +34,7 @@ PLACES = 1 << 20
 UNKNOWN = 2**63 - 1
 
 MET = "bucket int, ids binary, texts binary, owners binary, high binary, low binary"
-MARKS = "id long, text long, high binary"
+MARKS = "id long, text long, high long"
 
 
 class _Words(dict):
@@ -176,7 +176,7 @@ def _hand_on(buckets: int, window: int):
 
 
 MET_SCHEMA = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "texts", "owners", "high", "low"))])
-MARKS_SCHEMA = pa.schema([("id", pa.int64()), ("text", pa.int64()), ("high", pa.binary())])
+MARKS_SCHEMA = pa.schema([(c, pa.int64()) for c in ("id", "text", "high")])
 
 
 def _batches(rows: list[tuple], schema: pa.Schema):
@@ -186,14 +186,14 @@ def _batches(rows: list[tuple], schema: pa.Schema):
 
 def _mark(met: pa.Table) -> pa.Table:
     """Rows of MET of one bucket to rows of MARKS: windows whose words start in a smaller id."""
-    rows, parts, ids, texts, count = [], [], [], [], 0
+    marks, parts, ids, texts, count = [np.empty((3, 0), np.int64)], [], [], [], 0
     for row in met.to_pylist():
         own = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["texts"], np.int64)
+        high = np.frombuffer(row["high"], np.uint64)
         if row["owners"] is None:
-            rows.append((int(own[0][0]), int(own[1][0]), row["high"]))
+            marks.append(np.stack([np.repeat(own[0], len(high)), np.repeat(own[1], len(high)), high.view(np.int64)]))
             continue
-        owner = np.frombuffer(row["owners"], np.uint16).astype(np.int64) + count
-        parts.append((np.frombuffer(row["high"], np.uint64), np.frombuffer(row["low"], np.uint16), owner))
+        parts.append((high, np.frombuffer(row["low"], np.uint16), np.frombuffer(row["owners"], np.uint16).astype(np.int64) + count))
         ids.append(own[0])
         texts.append(own[1])
         count += len(own[0])
@@ -201,13 +201,16 @@ def _mark(met: pa.Table) -> pa.Table:
         high, low, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
         ids, texts, owner = _ranked(np.concatenate(ids), np.concatenate(texts), owner)
         high, low, owner, marked = _judged(high, low, owner, ids)
-        rows += [(int(ids[k]), int(texts[k]), found) for k, found in _per_owner(owner[marked], high[marked])]
-    return pa.Table.from_batches(_batches(rows, MARKS_SCHEMA), MARKS_SCHEMA)
+        # Side by side by text, so that files and shuffles repeat their names cheaply.
+        order = np.argsort(owner[marked], kind="stable")
+        owner = owner[marked][order]
+        marks.append(np.stack([ids[owner], texts[owner], high[marked][order].view(np.int64)]))
+    return pa.Table.from_arrays([pa.array(c) for c in np.concatenate(marks, axis=1)], schema=MARKS_SCHEMA)
 
 
 def marked_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, text, high): per text, named by doc_id (null: the largest) and 64-bit hash, hashes of
-    those of its windows that also start in a smaller id; several rows for a text."""
+    """(id, text, high): a hash of each window that also starts in a smaller id; texts are named by
+    doc_id (null: the largest) and their own 64-bit hash. Rows may repeat."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, min(1 << 30, -(-total // BUCKET_BYTES)))
     met = _named(docs).select("id", "name", "text").mapInArrow(_hand_on(buckets, window), MET)
@@ -234,7 +237,7 @@ def _cut(window: int):
                     n_words.append(len(found))
                     spans = []
                     if marks.is_valid:
-                        marked = np.frombuffer(b"".join(marks.as_py()), np.uint64)
+                        marked = marks.values.to_numpy().view(np.uint64)
                         starts = np.flatnonzero(np.isin(rolling.hashes(found)[0], marked))
                         # Windows that touch or overlap merge.
                         if len(starts):
@@ -272,7 +275,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     place = F.pmod(F.xxhash64("id", "name"), F.lit(PLACES))
     places = F.broadcast(marks.select(F.pmod(F.xxhash64("id", "text"), F.lit(PLACES)).alias("place")).distinct())
     rows = _named(docs).withColumn("place", place)
-    plain = rows.join(places, "place", "left_anti").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("marks"))
+    plain = rows.join(places, "place", "left_anti").select("doc_id", "text", F.lit(None).cast("array<long>").alias("marks"))
     sets = marks.groupBy("id", F.col("text").alias("name")).agg(F.collect_set("high").alias("marks"))
     joined = rows.join(places, "place", "left_semi").join(sets, ["id", "name"], "left").select("doc_id", "text", "marks")
     kind = docs.schema["doc_id"].dataType.simpleString()
