@@ -61,8 +61,8 @@ def merged_schema(*schemas: T.StructType) -> T.StructType:
     merged: dict[str, T.DataType] = {}
     for field in (f for schema in schemas for f in schema):
         before = merged.setdefault(field.name, field.dataType)
-        if before != field.dataType:
-            kinds = before.simpleString(), field.dataType.simpleString()
+        kinds = before.simpleString(), field.dataType.simpleString()
+        if kinds[0] != kinds[1]:
             if not set(kinds) <= set(_WIDER):
                 raise ValueError(f"column {field.name} was {kinds[0]} and is now {kinds[1]}")
             merged[field.name] = before if _WIDER.index(kinds[0]) > _WIDER.index(kinds[1]) else field.dataType

@@ -196,6 +196,10 @@ def test_schemas_grow_and_widen(spark, tmp_path):
     for read in (tables.read_table(spark, path), tables.read_log(spark, path, T.StructType([T.StructField("id", T.IntegerType())]))):
         assert dict(read.dtypes) == {"id": "bigint", "x": "string", "y": "boolean", "z": "double"}
         assert sorted(map(tuple, read.select("id", "x", "y", "z").collect())) == [(1, "a", None, None), (2, None, True, None), (3_000_000_000, None, None, 1.5)]
+    lists = [spark.createDataFrame([([1],)], T.StructType([T.StructField("l", T.ArrayType(T.IntegerType(), inner))])) for inner in (True, False)]
+    for rows in lists:
+        tables.append_table(rows, f"{path}-lists")
+    assert tables.stored_schema(spark, f"{path}-lists") is None
     with pytest.raises(ValueError, match="column x"):
         tables.append_table(spark.createDataFrame([(1,)], "x int"), path)
     tables.write_table(spark.createDataFrame([(9,)], "id int"), path)
