@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.functions.text import norm_text
 from lakerisk.operators.geo import with_bounds
-from lakerisk.operators.joins import lookup_left
+from lakerisk.operators.joins import heavy_keys, lookup_left
 from lakerisk.vocabulary import HIERARCHY
 
 # Points for an equal field.
@@ -60,7 +60,8 @@ def match_units(requests: DataFrame, units: DataFrame) -> DataFrame:
         lambda p: p.isNotNull(),
     )
     lookups = asked.select("request_id", F.explode(probes).alias("_p")).select("request_id", "_p.*")
-    found = lookup_left(lookups, best, ["_set", *fields], salt_from=["request_id"], null_safe=True)
+    keys = ["_set", *fields]
+    found = lookup_left(lookups, best, keys, salt_from=["request_id"], null_safe=True, heavy=heavy_keys(lookups, keys))
     hits = found.filter(F.col("_candidate").isNotNull())
     top = F.min(F.struct(-F.col("_points"), "_candidate")).alias("_top")
     return hits.groupBy("request_id").agg(top).select(

@@ -7,53 +7,61 @@ from pyspark.sql import functions as F
 
 from lakerisk import vocabulary as V
 from lakerisk.functions.scoring import largest_named
-from lakerisk.operators.joins import lookup_left
+from lakerisk.operators.joins import lookup_left, split_parts
 from lakerisk.operators.scoring import priority_score
 
-STEPS_PER_DOUBLING = 512
+RANGES = 256
 
 
-def _bucket(value: Column) -> Column:
-    """Bucket number that never decreases as the value grows; NULL for NULL.
+def _range_of(value: Column, cuts: Column) -> Column:
+    """How many of the sorted ``cuts`` are smaller than the value, by halving; NULL for NULL."""
+    steps = [1 << i for i in reversed(range(RANGES.bit_length()))]
 
-    The signed logarithm gives a few hundred buckets per factor of two, so their
-    number depends on the range of the values and not on the number of rows.
-    """
-    size = F.floor((F.log2(F.abs(value)) + F.lit(1100.0)) * F.lit(float(STEPS_PER_DOUBLING)))
-    # NaN is the largest of all numbers to SQL; its logarithm has no bucket.
-    nan = F.isnan(value.cast("double"))
-    return F.when(nan, F.lit(1 << 40)).when(value > 0, size).when(value < 0, -size).when(value == 0, F.lit(0))
+    def halve(at: Column, step: Column) -> Column:
+        # One beyond the end gives NULL, which is not smaller.
+        return F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at)
+
+    return F.when(value.isNotNull(), F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve))
 
 
 def running_totals(hist: DataFrame, value: str, counts: Sequence[str]) -> DataFrame:
     """Adds before_<count>: the total over all larger values, NULL values last.
 
-    ``hist`` has one row per distinct value. Bucket totals, at most a few
-    thousand rows, are summed in one small window; inside a bucket the windows
-    run in parallel.
+    ``hist`` has one row per distinct value. A quantile sketch of these values cuts them into
+    at most 256 ranges of about equal numbers of rows, whatever their distribution. Range
+    totals are summed in one small window; inside a range the windows run in parallel.
     """
-    bucketed = hist.withColumn("_bucket", _bucket(F.col(value)))
     ahead = (Window.unboundedPreceding, -1)
-    totals = bucketed.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in counts])
-    over_buckets = Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(*ahead)
+    # Referring to the counts keeps this aggregate's input equal to the others', so that Spark shuffles it once.
+    cut_from = F.when(F.coalesce(*counts) >= 0, F.col(value))
+    shares = [i / RANGES for i in range(1, RANGES)]
+    cuts = hist.agg(F.percentile_approx(cut_from, shares, 10 * RANGES).alias("_cuts"))
+    ranged = hist.crossJoin(F.broadcast(cuts)).withColumn("_range", _range_of(F.col(value), F.col("_cuts"))).drop("_cuts")
+    totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in counts])
+    over_ranges = Window.orderBy(F.desc_nulls_last("_range")).rowsBetween(*ahead)
     offsets = totals.select(
-        F.col("_bucket").alias("_b"), *[F.coalesce(F.sum(c).over(over_buckets), F.lit(0)).alias(f"_off_{c}") for c in counts]
+        F.col("_range").alias("_r"), *[F.coalesce(F.sum(c).over(over_ranges), F.lit(0)).alias(f"_off_{c}") for c in counts]
     )
-    inside = Window.partitionBy("_bucket").orderBy(F.desc_nulls_last(value)).rowsBetween(*ahead)
-    local = bucketed.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in counts})
-    joined = local.join(offsets, F.col("_bucket").eqNullSafe(F.col("_b")), "left")
+    inside = Window.partitionBy("_range").orderBy(F.desc_nulls_last(value)).rowsBetween(*ahead)
+    local = ranged.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in counts})
+    joined = local.join(F.broadcast(offsets), F.col("_range").eqNullSafe(F.col("_r")), "left")
     return joined.select(*hist.columns, *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"before_{c}") for c in counts])
 
 
 def global_rank(df: DataFrame, value: str, rank: str, salt_from: Sequence[str]) -> DataFrame:
-    """rank() over the whole frame, largest first and NULLs last.
+    """rank() over the whole frame, largest first, NaN before all numbers and NULLs last.
 
     Rows are first counted per distinct value, so ties, however many, are one
-    row in the running total; the ranks are then looked up by value.
+    row in the running total; the ranks are then looked up by value. The counts also tell which
+    values hold more rows than a task should: only these are split.
     """
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_totals(hist, value, ["_n"]).select(value, (F.col("before__n") + 1).alias(rank))
-    return lookup_left(df, ranks, [value], salt_from=salt_from, null_safe=True)
+    parts = split_parts(df.sparkSession)
+    every = hist.agg(F.sum("_n").alias("_all"))
+    share = F.ceil(F.col("_n") * parts / F.col("_all"))
+    heavy = hist.crossJoin(F.broadcast(every)).filter(F.col("_n") * parts > F.col("_all")).select(value, share.alias("_copies"))
+    return lookup_left(df, ranks, [value], salt_from=salt_from, null_safe=True, heavy=heavy)
 
 
 def priority_rank(gold: DataFrame) -> DataFrame:
@@ -61,12 +69,6 @@ def priority_rank(gold: DataFrame) -> DataFrame:
     return global_rank(priority_score(gold), "priority_score", "prioritas_rank", salt_from=["id_wilayah"])
 
 
-def priority_rank_small(gold: DataFrame) -> DataFrame:
-    """The same rank by one plain window; sorts everything in one task, so for small tables only."""
-    by_score = Window.orderBy(F.desc_nulls_last("priority_score"))
-    return priority_score(gold).withColumn("prioritas_rank", F.rank().over(by_score).cast("long"))
-
-
 def top_n(df: DataFrame, by: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*by).limit(n)
 

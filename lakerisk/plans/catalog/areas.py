@@ -136,6 +136,29 @@ def priority_rank_scaled(spark, d):
     return both.select("o_orderkey", "overall", "tied")
 
 
+_NARROW = "1e0 + cast(o_orderkey * 7919 % 1000003 AS double) / 1e12"
+
+
+@query("priority_rank_narrow", f"SELECT o_orderkey, rank() OVER (ORDER BY {_NARROW} DESC) AS overall FROM orders")
+def priority_rank_narrow(spark, d):
+    """The distributed rank of values that all lie within a millionth of each other."""
+    orders = D.table(spark, d, "orders").select("o_orderkey", F.expr(_NARROW).alias("_value"))
+    return ranking.global_rank(orders, "_value", "overall", salt_from=["o_orderkey"]).select("o_orderkey", "overall")
+
+
+_GAPPED = (
+    "CASE WHEN o_orderkey % 5 = 0 THEN cast('NaN' AS double) WHEN o_orderkey % 5 = 1 THEN NULL "
+    "ELSE cast(o_orderkey % 1009 - 500 AS double) END"
+)
+
+
+@query("priority_rank_nan", f"SELECT o_orderkey, rank() OVER (ORDER BY {_GAPPED} DESC NULLS LAST) AS overall FROM orders")
+def priority_rank_nan(spark, d):
+    """The distributed rank where a fifth of the values are no numbers and a fifth are missing."""
+    orders = D.table(spark, d, "orders").select("o_orderkey", F.expr(_GAPPED).alias("_value"))
+    return ranking.global_rank(orders, "_value", "overall", salt_from=["o_orderkey"]).select("o_orderkey", "overall")
+
+
 @query(
     "unranked_units_last",
     "SELECT u.id_wilayah, rank() OVER (ORDER BY g.priority_score DESC NULLS LAST) AS prioritas_rank FROM units u LEFT JOIN gold g USING (id_wilayah)",

@@ -102,12 +102,12 @@ def history_or_log(spark: SparkSession, lake: Lakehouse) -> DataFrame:
 
 def event_history(events: DataFrame, units: DataFrame | None) -> DataFrame:
     """Deduplicated log with place names and the score at the time of each event."""
-    return scoring.score_and_level(features.enrich_events(history.dedup_events(events), units), "_saat_itu")
+    return scoring.score_and_level(features.enrich_events(history.dedup_events(events), units, log=events), "_saat_itu")
 
 
 def latest_with_place(events: DataFrame, units: DataFrame | None) -> DataFrame:
     """Latest snapshot from the raw log, reduced to one row per unit before the registry is joined."""
-    return with_geometry(features.enrich_events(history.latest_indicators(events), units, spread=1), units)
+    return with_geometry(features.enrich_events(history.latest_indicators(events), units), units)
 
 
 def latest_of_history(past: DataFrame, units: DataFrame | None) -> DataFrame:
