@@ -4,11 +4,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakerisk import vocabulary as V
 from lakerisk.functions.scoring import largest_named
 from lakerisk.operators.joins import lookup_left, split_parts
 from lakerisk.operators.scoring import priority_score
+from lakerisk.sources.tables import staged
 
 RANGES = 256
 
@@ -24,19 +26,26 @@ def _range_of(value: Column, cuts: Column) -> Column:
     return F.when(value.isNotNull(), F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve))
 
 
+def _cuts(value: str) -> Column:
+    """Aggregate: at most 255 values that cut the distinct ones into ranges of about equal size, from a quantile sketch."""
+    return F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], 10 * RANGES)
+
+
 def running_totals(hist: DataFrame, value: str, counts: Sequence[str]) -> DataFrame:
     """Adds before_<count>: the total over all larger values, NULL values last.
 
-    ``hist`` has one row per distinct value. A quantile sketch of these values cuts them into
-    at most 256 ranges of about equal numbers of rows, whatever their distribution. Range
+    ``hist`` has one row per distinct value and is written to the scratch folder. Quantiles cut
+    its values into at most 256 ranges of about equal size, whatever their distribution. Range
     totals are summed in one small window; inside a range the windows run in parallel.
     """
+    hist = staged(hist.sparkSession, hist, "counts")
+    return _totals_by_range(hist, value, counts, hist.agg(_cuts(value)).first()[0])
+
+
+def _totals_by_range(hist: DataFrame, value: str, counts: Sequence[str], found: list | None) -> DataFrame:
     ahead = (Window.unboundedPreceding, -1)
-    # Referring to the counts keeps this aggregate's input equal to the others', so that Spark shuffles it once.
-    cut_from = F.when(F.coalesce(*counts) >= 0, F.col(value))
-    shares = [i / RANGES for i in range(1, RANGES)]
-    cuts = hist.agg(F.percentile_approx(cut_from, shares, 10 * RANGES).alias("_cuts"))
-    ranged = hist.crossJoin(F.broadcast(cuts)).withColumn("_range", _range_of(F.col(value), F.col("_cuts"))).drop("_cuts")
+    cuts = F.array(*[F.lit(c) for c in found or []]).cast(T.ArrayType(hist.schema[value].dataType))
+    ranged = hist.withColumn("_range", _range_of(F.col(value), cuts))
     totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in counts])
     over_ranges = Window.orderBy(F.desc_nulls_last("_range")).rowsBetween(*ahead)
     offsets = totals.select(
@@ -55,12 +64,14 @@ def global_rank(df: DataFrame, value: str, rank: str, salt_from: Sequence[str])
     row in the running total; the ranks are then looked up by value. The counts also tell which
     values hold more rows than a task should: only these are split.
     """
-    hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_totals(hist, value, ["_n"]).select(value, (F.col("before__n") + 1).alias(rank))
-    parts = split_parts(df.sparkSession)
-    every = hist.agg(F.sum("_n").alias("_all"))
-    share = F.ceil(F.col("_n") * parts / F.col("_all"))
-    heavy = hist.crossJoin(F.broadcast(every)).filter(F.col("_n") * parts > F.col("_all")).select(value, share.alias("_copies"))
+    spark = df.sparkSession
+    hist = staged(spark, df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    most, total, cuts = hist.agg(F.max("_n"), F.sum("_n"), _cuts(value)).first()
+    ranks = _totals_by_range(hist, value, ["_n"], cuts).select(value, (F.col("before__n") + 1).alias(rank))
+    parts = split_parts(spark)
+    heavy = None
+    if total and most * parts > total:
+        heavy = hist.filter(F.col("_n") * parts > total).select(value, F.ceil(F.col("_n") * parts / total).alias("_copies"))
     return lookup_left(df, ranks, [value], salt_from=salt_from, null_safe=True, heavy=heavy)
 
 
