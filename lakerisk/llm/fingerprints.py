@@ -123,40 +123,55 @@ def likeness(left: Column, right: Column, scheme: Scheme = SCHEME) -> Column:
     return F.when(filled == 0, F.lit(1.0)).otherwise(equal / filled)
 
 
-def with_next(rows: DataFrame, scheme: Scheme = SCHEME, rows_per_bucket: int = 2000) -> DataFrame:
+def _bucket(cuts: list[int]) -> Column:
+    """How many of the sorted cuts are at most the row's doc_id, by halving; 0 for a null id."""
+    if not cuts:
+        return F.lit(0)
+    found = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+
+    def halve(at: Column, step: Column) -> Column:
+        # One beyond the end gives NULL, which no id reaches.
+        return F.when(F.get(found, at + step - 1) <= F.col("doc_id"), at + step).otherwise(at)
+
+    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve))
+
+
+def with_next(rows: DataFrame, scheme: Scheme = SCHEME, rows_per_bucket: int = 2000, most_buckets: int = 4096) -> DataFrame:
     """Adds fingerprint, and ``next``: struct<text, fingerprint> of the next row by doc_id; the last row gets the first.
 
-    ``rows`` has doc_id and text. The id range is cut at quantiles into
-    buckets, so order is found inside buckets in parallel; the last row of a bucket
-    takes the first row of the next, of which there is one per bucket. Null ids come
-    first; equal ids are ordered by text.
+    ``rows`` has doc_id and text. The id range is cut into at most ``most_buckets`` buckets, so
+    order is found inside buckets in parallel, after the one shuffle of the texts; the last row
+    of a bucket takes the first row of the next, which is read from the same shuffle. The cuts
+    come from a sketch of the ids, in a large table of some thousand ids per bucket; they
+    decide how even the buckets are, not the result. Null ids come first; equal ids are
+    ordered by text.
     """
     total = rows.select("doc_id").agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    n = max(1, -(-total // rows_per_bucket))
-    steps = [i / n for i in range(1, n)]
+    n = min(most_buckets, max(1, -(-total // rows_per_bucket)))
     cuts = []
-    if steps:
-        found = rows.agg(F.percentile_approx("doc_id", steps, max(10_000, 20 * n)).alias("c")).first()["c"]
+    if n > 1:
+        ids = rows.select("doc_id").sample(min(1.0, 1000 * n / total), seed=1)
+        found = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("c")).first()["c"]
         cuts = sorted(set(found or []))
-    literal = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucketed = rows.withColumn("_b", F.coalesce(F.size(F.filter(literal, lambda c: F.col("doc_id") >= c)), F.lit(0)))
-    order = ["doc_id", "text"]
-
-    heads = bucketed.groupBy("_b").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("_h"))
-    same = (bucketed["_b"] == heads["_b"]) & (F.coalesce(bucketed["doc_id"], F.lit(-(2**63))) == heads["_h"])
-    firsts = bucketed.join(heads, same, "left_semi").groupBy("_b").agg(F.min("text").alias("text"))
-    firsts = firsts.select("_b", F.struct("text", fingerprint(F.col("text"), scheme).alias("fingerprint")).alias("_first"))
-    # One row per bucket: the bucket before each, and for the last the first.
+    printed = rows.select("doc_id", "text", _bucket(cuts).alias("_b"), fingerprint(F.col("text"), scheme).alias("fingerprint"))
+
+    # Rows of a bucket meet once: their order and the bucket's first row both come from this shuffle. The windows
+    # use plain columns only, as Spark would compute anything else before the shuffle and send it too.
+    inside = Window.partitionBy("_b").orderBy("doc_id", "text")
+    lead = {"_text": F.lead("text").over(inside), "_print": F.lead("fingerprint").over(inside)}
+    led = printed.withColumns({**lead, "_before": F.lag("_b").over(inside)})
+    firsts = led.filter(F.col("_before").isNull()).select("_b", F.struct("text", "fingerprint").alias("_first"))
+    # One row per bucket: the bucket before each, and for the first the last.
     every = Window.orderBy("_b")
-    before = heads.select(F.col("_b").alias("_to"), F.lag("_b").over(every).alias("_from"), F.max("_b").over(Window.partitionBy()).alias("_end"))
+    used = rows.select(_bucket(cuts).alias("_b")).distinct()
+    before = used.select(F.col("_b").alias("_to"), F.lag("_b").over(every).alias("_from"), F.max("_b").over(Window.partitionBy()).alias("_end"))
     before = before.select("_to", F.coalesce("_from", "_end").alias("_from"))
-    heir = firsts.join(before, firsts["_b"] == before["_to"]).select(F.col("_from").alias("_of"), "_first")
-
-    inside = Window.partitionBy("_b").orderBy(*order)
-    printed = bucketed.withColumn("fingerprint", fingerprint(F.col("text"), scheme))
-    led = printed.withColumn("_lead", F.lead(F.struct("text", "fingerprint")).over(inside))
+    # A left join, as an inner one would put a filter of its own before the shuffle, which then is another.
+    heir = firsts.join(F.broadcast(before), firsts["_b"] == before["_to"], "left").select(F.col("_from").alias("_of"), "_first")
+    after = F.when(F.col("_print").isNotNull(), F.struct(F.col("_text").alias("text"), F.col("_print").alias("fingerprint")))
     return led.join(heir, led["_b"] == heir["_of"], "left").select(
-        "doc_id", "text", "fingerprint", F.coalesce("_lead", "_first").alias("next")
+        "doc_id", "text", "fingerprint", F.coalesce(after, F.col("_first")).alias("next")
     )
 
 
