@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lakerisk.llm import bpe, langid, lm, packing, simhash, toxicity
+from lakerisk.llm import bpe, langid, lm, packing, similar, simhash, toxicity
 from lakerisk.llm.queries import QUERIES
 from lakerisk.llm.text import fold
 
@@ -405,6 +405,23 @@ def test_near_duplicate_stage_goes_by_five_word_similarity(spark, data):
     assert sorted(r.doc_id for r in kept) == sorted(expected)
 
 
+@pytest.mark.parametrize(("own", "shared"), [(28, 4), (26, 1)])
+def test_near_duplicate_stage_in_groups_of_one_template(spark, data, own, shared):
+    """Pairs just above 0.8 in a group whose other texts are just below: none is lost, none is added."""
+    noise = np.random.default_rng(14)
+    template = [f"t{i}" for i in range(200)]
+    docs = []
+    for _ in range(150):
+        both = [f"p{x}" for x in noise.integers(10**15, size=shared)]
+        docs += [template + both + [f"o{x}" for x in noise.integers(10**15, size=own - shared)] for _ in range(2)]
+    sets = {i: set(d) for i, d in enumerate(docs)}
+    near = [(a, b) for a, b in combinations(sets, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert near == [(i, i + 1) for i in range(0, 300, 2)]
+    table = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    kept = similar.one_of_each(spark, table, similarity=0.8, size=1).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 300, 2))
+
+
 def test_stages_follow_each_other(spark, data, documents):
     docs = documents.withColumn("score", F.lit("x"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
