@@ -25,6 +25,7 @@ from lakerisk.operators.scoring import present, risk_score, rule_prediction
 SEED = 42
 MIN_SPLIT_ROWS = 5
 MAX_TREES, MAX_DEPTH = 20, 5
+CV_SCHEMA = "n_trees INT, max_depth INT, mean_f1 DOUBLE, fold_std_f1 DOUBLE"
 
 
 def feature_stage(cols: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -36,17 +37,24 @@ def rf_pipeline(trees: int = 8, depth: int = 3, seed: int = SEED, cols: Sequence
     return Pipeline(stages=[feature_stage(cols), forest])
 
 
-def _hash_slot(id_col: str, purpose: str, slots: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(purpose), F.col(id_col)), F.lit(slots)).cast("int")
+def hash_slot(id_col: str, purpose: str, slots: int) -> Column:
+    """0 to ``slots`` - 1: the first 32 bits of md5 of ``purpose:id``, modulo ``slots``. Any SQL can restate it."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{purpose}:"), F.col(id_col).cast("string"))), 1, 8)
+    return (F.conv(digits, 16, 10).cast("long") % slots).cast("int")
 
 
-def stable_split(df: DataFrame, id_col: str = "id_wilayah", label: str = "label", frac: float = 0.8) -> DataFrame:
+def stable_split(df: DataFrame, id_col: str = "id_wilayah", frac: float = 0.8) -> DataFrame:
     """Adds split = train / test by the hash of the id, about ``frac`` of each class.
 
-    The same unit always lands on the same side, whatever the partitioning.
+    The same unit always lands on the same side, whatever the partitioning, and also when its label changes.
     """
-    slot = F.pmod(F.xxhash64(F.lit("split"), F.col(label), F.col(id_col)), F.lit(1000))
-    return df.withColumn("split", F.when(slot < int(frac * 1000), "train").otherwise("test"))
+    slot = hash_slot(id_col, "split", 1000)
+    return df.withColumn("split", F.when(slot < round(frac * 1000), "train").otherwise("test"))
+
+
+def stable_folds(df: DataFrame, folds: int = 3, id_col: str = "id_wilayah") -> DataFrame:
+    """Adds fold, by a hash of the id independent of the split's."""
+    return df.withColumn("fold", hash_slot(id_col, "fold", folds))
 
 
 def train_test_split(df: DataFrame, total: int, frac: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -71,7 +79,7 @@ def fit_cv(pipeline: Pipeline, df: DataFrame, folds: int = 3, id_col: str = "id_
         .addGrid(forest.maxDepth, sorted({depth, min(depth + 1, MAX_DEPTH)}))
         .build()
     )
-    folded = df.withColumn("fold", _hash_slot(id_col, "fold", folds))
+    folded = stable_folds(df, folds, id_col)
     sizes = [r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()]
     if sum(sizes) < 3 * folds or len(sizes) < folds:
         return None
@@ -103,13 +111,17 @@ def cv_summary(model: CrossValidatorModel) -> CvSummary:
     return CvSummary(round(means[best], 4), round(grid_std, 4), round(model.stdMetrics[best], 4))
 
 
-def cv_frame(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
-    """One row per grid point: trees, depth, mean and fold std of F1."""
+def cv_frame(spark: SparkSession, model: CrossValidatorModel | None, pipeline: Pipeline) -> DataFrame:
+    """One row per grid point: trees, depth, mean and fold std of F1. If the search was skipped, the point
+    that a single fit of ``pipeline`` takes, its figures NULL as in the metrics table."""
     rows = []
+    if model is None:
+        forest = pipeline.getStages()[-1]
+        return spark.createDataFrame([(forest.getNumTrees(), forest.getMaxDepth(), None, None)], CV_SCHEMA)
     for params, mean, std in zip(model.getEstimatorParamMaps(), model.avgMetrics, model.stdMetrics, strict=True):
         named = {p.name: v for p, v in params.items()}
         rows.append((named["numTrees"], named["maxDepth"], float(mean), float(std)))
-    return spark.createDataFrame(rows, "n_trees INT, max_depth INT, mean_f1 DOUBLE, fold_std_f1 DOUBLE")
+    return spark.createDataFrame(rows, CV_SCHEMA)
 
 
 def proba_of(col: str = "probability", i: int = 1) -> Column:

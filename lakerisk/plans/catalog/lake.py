@@ -263,11 +263,26 @@ def _labelled(spark, d):
     return training_set(latest(spark, d), h.latest_ground_truth(D.ground_truth(spark, d)))
 
 
-@query("train_test_split")
+_SLOT = "cast('0x' || substr(md5('{purpose}:' || id_wilayah), 1, 8) AS bigint) % {slots}"
+_SPLIT = (
+    "(SELECT id_wilayah, label_kumuh AS label, "
+    f"CASE WHEN {_SLOT.format(purpose='split', slots=1000)} < 800 THEN 'train' ELSE 'test' END AS split, "
+    f"cast({_SLOT.format(purpose='fold', slots=3)} AS int) AS fold "
+    "FROM latest JOIN truth USING (id_wilayah))"
+)
+
+
+@query("train_test_split", f"SELECT label, split, count(*) AS n_rows FROM {_SPLIT} s GROUP BY label, split")
 def train_test_split(spark, d):
     return ml.stable_split(_labelled(spark, d)).groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("train_test_sides", f"SELECT id_wilayah, split, fold FROM {_SPLIT} s")
+def train_test_sides(spark, d):
+    """Side and fold of every labelled unit."""
+    return ml.stable_folds(ml.stable_split(_labelled(spark, d))).select("id_wilayah", "split", "fold")
+
+
 @query("train_test_union", "SELECT id_wilayah, t.label_kumuh AS label FROM latest JOIN truth t USING (id_wilayah)")
 def train_test_union(spark, d):
     """Train and test rows together: every labelled unit exactly once."""
@@ -282,12 +297,46 @@ def rf_predictions(spark, d):
     return ml.score(model, latest(spark, d)).select("id_wilayah", "label_prediksi", "proba_kumuh")
 
 
+@query("rf_predictions_sound", "SELECT id_wilayah, true AS sound FROM latest")
+def rf_predictions_sound(spark, d):
+    """Every surveyed unit is scored once, with a probability on its label's side of a half."""
+    p, label = F.col("proba_kumuh"), F.col("label_prediksi")
+    agrees = F.when(p > 0.5, label == 1).when(p < 0.5, label == 0).otherwise(label.isin(0, 1))
+    return rf_predictions(spark, d).select("id_wilayah", (p.between(0, 1) & agrees).alias("sound"))
+
+
 @query("feature_importance")
 def feature_importance(spark, d):
     _, model = trained(spark, d)
     return ml.feature_importance(spark, model)
 
 
+@query("feature_importance_total", f"SELECT {len(V.MODEL_FEATURES)} AS n_features, 1e0 AS total, true AS sound")
+def feature_importance_total(spark, d):
+    """Importances of all features are shares of one."""
+    of = F.col("importance")
+    return feature_importance(spark, d).agg(
+        F.count_distinct("feature").cast("int").alias("n_features"), F.round(F.sum(of), 9).alias("total"), F.every(of.between(0, 1)).alias("sound")
+    )
+
+
+@query(
+    "model_metrics_counts",
+    "SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test, "
+    "count(*) FILTER (WHERE split = 'test' AND label = 1) AS n_positive, count(*) FILTER (WHERE split = 'test' AND label = 0) AS n_negative "
+    f"FROM {_SPLIT} s",
+)
+def model_metrics_counts(spark, d):
+    """Rows the stored model was fitted and judged on, by class, from its newest metrics row."""
+    cell = lambda c: F.col(f"confusion_matrix_{c}").cast("long")
+    return model_metrics(spark, d).select(
+        F.col("n_train").cast("long").alias("n_train"),
+        F.col("n_test").cast("long").alias("n_test"),
+        (cell("tp") + cell("fn")).alias("n_positive"),
+        (cell("tn") + cell("fp")).alias("n_negative"),
+    )
+
+
 @query("model_metrics")
 def model_metrics(spark, d):
     lake, _ = trained(spark, d)
@@ -298,7 +347,9 @@ def model_metrics(spark, d):
 def cv_summary(spark, d):
     rows = _labelled(spark, d)
     train, _ = ml.train_test_split(rows, rows.count())
-    return ml.cv_frame(spark, ml.fit_cv(ml.rf_pipeline(), train.persist()))
+    pipeline = ml.rf_pipeline()
+    train = tables.staged(spark, train, "train")
+    return ml.cv_frame(spark, ml.fit_cv(pipeline, train), pipeline)
 
 
 @query("kmeans_assign")

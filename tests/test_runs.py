@@ -216,6 +216,17 @@ def test_split_is_stable(spark):
 
     one, other = train_ids(df.coalesce(1)), train_ids(df.repartition(7))
     assert one == other and 700 < len(one) < 900
+    relabelled = df.withColumn("label", 1 - F.col("label"))
+    assert train_ids(relabelled) == one
+    sizes = {(r["split"], r["fold"]): r["count"] for r in ml.stable_folds(ml.stable_split(df)).groupBy("split", "fold").count().collect()}
+    assert len(sizes) == 6 and all(200 < sizes["train", fold] < 340 for fold in range(3))
+
+
+def test_a_skipped_search_names_the_single_fit(spark):
+    pipeline = ml.rf_pipeline(trees=3, depth=2)
+    few = spark.createDataFrame([("u", 1)], "id_wilayah string, label int")
+    assert ml.fit_cv(pipeline, few) is None
+    assert [tuple(r) for r in ml.cv_frame(spark, None, pipeline).collect()] == [(3, 2, None, None)]
 
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct")
