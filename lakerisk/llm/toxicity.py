@@ -40,15 +40,13 @@ PLAIN = ".,;:!?\"'()[]{}«»„“”‚‘’…"
 class Settings:
     """Bounds of what is learned, its smoothing, and costs of the channel (natural logs).
 
-    At most ``sample`` labelled rows per class are learned from, those of the least
-    hash; ``features`` bounds the words and the beginnings kept. ``prior`` is the weight, in
-    observations, of what is expected of a word before it is counted: the share of
-    toxic sightings, at most ``most_expected``. A text is judged
+    ``features`` bounds the words and the beginnings kept, which are counted over all labelled
+    rows. ``prior`` is the weight, in observations, of what is expected of a word before it is
+    counted: the share of toxic sightings, at most ``most_expected``. A text is judged
     by the probability p that its worst word speaks for toxicity; the score is p to
     the power ``sharpness``, which puts p = 0.6 at 0.3.
     """
 
-    sample: int = 20_000
     features: int = 50_000
     prior: float = 8.0
     most_expected: float = 0.15
@@ -216,13 +214,11 @@ class Model:
         return best**self.settings.sharpness
 
 
-def _learned(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """(text, toxic) of at most ``s.sample`` labelled rows per class, outside the held-out fold."""
+def _learned(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic) of all labelled rows outside the held-out fold."""
     told = labels.filter("doc_id is not null and toxic is not null").filter(fold("doc_id", 4) != 2)
     told = told.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = told.filter("toxic = 1").orderBy(*order).limit(s.sample).unionByName(told.filter("toxic <> 1").orderBy(*order).limit(s.sample))
-    return docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").filter("text is not null").join(told, "doc_id").select("text", "toxic")
 
 
 def _sightings(rows: DataFrame) -> DataFrame:
@@ -272,8 +268,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, s: Settings = S
 
     What reaches the driver is bounded by ``s.features`` for each of the three.
     """
-    rows = staged(spark, _learned(docs, labels, s), "labelled")
-    words = staged(spark, _sightings(rows).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")), "words")
+    words = staged(spark, _sightings(_learned(docs, labels)).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")), "words")
     total = words.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     base = min(s.most_expected, total["bad"] / total["n"]) if total["n"] else 0.0
 

@@ -226,6 +226,14 @@ def test_words_in_long_and_joined_tokens_are_found(toxic_model, said):
     assert toxic_model.score(f"the other thing {said} words") >= 0.3
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """No class is cut, however many rows it has: a word of the last of 30,000 clean texts is counted."""
+    labels = spark.range(30_000).selectExpr("id as doc_id", "0 as toxic")
+    docs = labels.selectExpr("doc_id", "concat('clean words of text ', doc_id) as text")
+    learned = toxicity._learned(docs, labels)
+    assert learned.count() == labels.filter("crc32(cast(doc_id as string)) % 4 <> 2").count() > 20_000
+
+
 def test_tokens_without_letters_are_decoded(spark):
     """A word that digits and signs alone can spell."""
     noise = np.random.default_rng(11)
