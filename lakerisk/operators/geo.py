@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.functions import geometry as G
+from lakerisk.operators.joins import split_parts
 
 FIRST_CELL_DEG = 0.01
 LEVELS = 64  # the last cell size exceeds any coordinate
@@ -119,7 +120,9 @@ def bbox_join(boxes: DataFrame, units: DataFrame, spread: int = 8) -> DataFrame:
     size, and meet at the coarser of the two levels, so a row covers at most four
     cells however large it is. A pair is reported only from the cell that holds
     the lower left corner of the overlap, so no distinct is needed. Units of one
-    cell are spread over several tasks.
+    cell are spread over several tasks. Pairs may be far more than the rows they come
+    from, so both sides are dealt by cell to a fixed number of tasks: neither a broadcast
+    nor the merging of small partitions can leave the pairs to a few.
     """
     span = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
     b = boxes.select("box_id", *G.BOUNDS, _level(span).alias("_own"))
@@ -131,19 +134,21 @@ def bbox_join(boxes: DataFrame, units: DataFrame, spread: int = 8) -> DataFrame:
         leveled = df.withColumn("_level", F.explode(F.array_union(in_use, F.array("_own"))))
         return _on_cells(leveled.filter(F.col("_level") >= F.col("_own")), "_level")
 
-    u_cells = on_levels(u, b).withColumn("_salt", F.pmod(F.xxhash64("id_wilayah"), F.lit(spread)).cast("int"))
+    deal = ["_level", "_cx", "_cy", "_salt"]
+    parts = split_parts(units.sparkSession)
+    u_cells = on_levels(u, b).withColumns({"_salt": F.pmod(F.xxhash64("id_wilayah"), F.lit(spread)).cast("int"), "_size": _cell_size(F.col("_level"))})
     b_cells = on_levels(b, u).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    u_side, b_side = u_cells.alias("u"), b_cells.alias("b")
-    size = _cell_size(F.col("u._level"))
+    u_side, b_side = u_cells.repartition(parts, *deal).alias("u"), b_cells.repartition(parts, *deal).hint("merge").alias("b")
+    size = F.col("u._size")
     meeting_level = F.col("u._level") == F.greatest(F.col("u._own"), F.col("b._own"))
     corner_here = (
         F.floor(F.greatest(F.col("u.minx"), F.col("b.minx")) / size) == F.col("u._cx")
     ) & (F.floor(F.greatest(F.col("u.miny"), F.col("b.miny")) / size) == F.col("u._cy"))
-    same = [F.col(f"u.{c}") == F.col(f"b.{c}") for c in ("_level", "_cx", "_cy", "_salt")]
+    same = [F.col(f"u.{c}") == F.col(f"b.{c}") for c in deal]
     overlap = (
         (F.col("u.minx") <= F.col("b.maxx"))
         & (F.col("u.maxx") >= F.col("b.minx"))
         & (F.col("u.miny") <= F.col("b.maxy"))
         & (F.col("u.maxy") >= F.col("b.miny"))
     )
-    return u_side.join(b_side, [*same, meeting_level, corner_here, overlap]).select("box_id", "id_wilayah")
+    return u_side.join(b_side, [*same, meeting_level, overlap, corner_here]).select("box_id", "id_wilayah")

@@ -106,6 +106,16 @@ def test_bbox_join_equals_brute_force(spark, seed):
     assert got == sorted((b, u) for b in left for u in right if overlaps(left[b], right[u]))
 
 
+def test_bbox_join_deals_pairs_over_tasks(spark):
+    """Few rows can make very many pairs, so the sides are neither broadcast nor merged into few partitions."""
+    boxes = spark.range(40).selectExpr("cast(id as string) as box_id", "0d as minx", "0d as miny", "0.3d as maxx", "0.3d as maxy")
+    places = spark.range(400).selectExpr("cast(id as string) as id_wilayah", "id / 2000 as minx", "id / 2000 as miny", "id / 2000 as maxx", "id / 2000 as maxy")
+    pairs = geo.bbox_join(boxes, places)
+    assert pairs.count() == 40 * 400
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("REPARTITION_BY_NUM") >= 2
+
+
 def test_viewport_filter_reaches_the_scan(spark, tmp_path):
     geo.unit_map(units(spark, [unit("a", "K", "L")])).write.parquet(str(tmp_path / "map"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
