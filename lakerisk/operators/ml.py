@@ -19,6 +19,7 @@ from lakerisk import schemas
 from lakerisk import vocabulary as V
 from lakerisk.functions.text import version_string
 from lakerisk.operators.features import fill_features
+from lakerisk.operators.joins import shuffled
 from lakerisk.operators.metrics import classification_metrics, confusion_matrix
 from lakerisk.operators.scoring import present, risk_score, rule_prediction
 
@@ -304,4 +305,4 @@ def attach_clusters(scored: DataFrame, assignment: DataFrame | None) -> DataFram
         return bare.withColumns(
             {"cluster_id": F.lit(None).cast("int"), "cluster_rank": F.lit(None).cast("int"), "cluster_label": F.lit("")}
         )
-    return bare.join(assignment.select("id_wilayah", "cluster_id", "cluster_rank", "cluster_label"), "id_wilayah", "left")
+    return bare.join(shuffled(assignment.select("id_wilayah", "cluster_id", "cluster_rank", "cluster_label")), "id_wilayah", "left")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakerisk.functions.scoring import change_label
 from lakerisk.operators.forecast import DAY, having_min_events, project
 from lakerisk.operators.history import newest_first, top_per_key
+from lakerisk.operators.joins import shuffled
 
 SUMS = ["n", "first_at", "last_at", "mean_x", "mean_y", "m2_x", "c_xy"]
 
@@ -35,7 +36,7 @@ def event_state(events: DataFrame, score_col: str = "risk_score_saat_itu") -> Da
         (F.var_pop(x) * F.count(F.lit(1))).alias("m2_x"),
         (F.covar_pop(x, y) * F.count(F.lit(1))).alias("c_xy"),
     )
-    return two.join(sums, F.col("id_wilayah").eqNullSafe(F.col("_id")), "left").select("id_wilayah", "newest", F.coalesce("n", F.lit(0).cast("long")).alias("n"), *SUMS[1:])
+    return two.join(shuffled(sums), F.col("id_wilayah").eqNullSafe(F.col("_id")), "left").select("id_wilayah", "newest", F.coalesce("n", F.lit(0).cast("long")).alias("n"), *SUMS[1:])
 
 
 def merge_state(stored: DataFrame, batch: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def merge_state(stored: DataFrame, batch: DataFrame) -> DataFrame:
     The events of both must be different ones.
     """
     old = stored.select(*[F.col(c).alias(f"_{c}") for c in ("id_wilayah", "newest", *SUMS)])
-    both = batch.join(old, F.col("id_wilayah").eqNullSafe(F.col("_id_wilayah")), "left")
+    both = batch.join(shuffled(old), F.col("id_wilayah").eqNullSafe(F.col("_id_wilayah")), "left")
 
     def of(name: str, empty: Column) -> tuple[Column, Column]:
         return F.coalesce(F.col(name), empty), F.coalesce(F.col(f"_{name}"), empty)

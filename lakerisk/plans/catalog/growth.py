@@ -10,6 +10,7 @@ from lakerisk import vocabulary as V
 from lakerisk.functions.text import JSON_OPTIONS
 from lakerisk.operators import unit_state as us
 from lakerisk.operators.clusters import Clusters, farther_than_nearest
+from lakerisk.operators.joins import shuffled
 from lakerisk.plans import domain as D
 from lakerisk.plans import medallion as M
 from lakerisk.plans.catalog.history import _FORECAST, _MIDDLE_TS
@@ -38,7 +39,7 @@ def _folded(spark: SparkSession, d: str) -> DataFrame:
     state = us.event_state(log.filter(part == 0))
     for k in (1, 2):
         batch = us.event_state(log.filter(part == k))
-        untouched = state.join(batch.select("id_wilayah"), "id_wilayah", "left_anti")
+        untouched = state.join(shuffled(batch.select("id_wilayah")), "id_wilayah", "left_anti")
         state = tables.staged(spark, us.merge_state(state, batch).unionByName(untouched), "state")
     return state
 
@@ -161,7 +162,7 @@ def clusters_kept(spark, d):
     lake = grown_lake(spark, d)
     units = _read(spark, lake, M.RISK)
     far = farther_than_nearest(units, Clusters(_read(spark, lake, M.CLUSTER_MODEL))).select("id_wilayah")
-    judged = units.join(far.withColumn("far", F.lit(True)), "id_wilayah", "left")
+    judged = units.join(shuffled(far.withColumn("far", F.lit(True))), "id_wilayah", "left")
     return judged.select("id_wilayah", (F.col("far").isNull() & F.col("cluster_id").isNotNull()).alias("nearest"))
 
 

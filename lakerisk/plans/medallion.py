@@ -12,7 +12,7 @@ from lakerisk import schemas
 from lakerisk import vocabulary as V
 from lakerisk.operators import features, geo, history, ml, ranking, scoring, unit_state
 from lakerisk.operators.clusters import Clusters, model_table
-from lakerisk.operators.joins import register_units, scope_by_area, scope_by_keys
+from lakerisk.operators.joins import register_units, scope_by_area, scope_by_keys, shuffled
 from lakerisk.operators.upsert import upsert
 from lakerisk.sources import idindex, tables
 
@@ -119,7 +119,7 @@ def latest_of_history(past: DataFrame, units: DataFrame | None) -> DataFrame:
 def with_geometry(latest: DataFrame, units: DataFrame | None) -> DataFrame:
     if units is None or "geometry_wkt" not in units.columns:
         return latest
-    return latest.join(units.select("id_wilayah", "geometry_wkt"), "id_wilayah", "left")
+    return latest.join(shuffled(units.select("id_wilayah", "geometry_wkt")), "id_wilayah", "left")
 
 
 def refresh_ground_truth(spark: SparkSession, lake: Lakehouse, keys: DataFrame | None = None) -> None:
@@ -178,7 +178,7 @@ def bronze_to_silver(
     ids = past.select("event_id").filter(F.col("event_id").isNotNull())
     known = idindex.find(spark, lake.path(EVENT_IDS), ids)
     if known is not None:
-        ids = tables.staged(spark, ids.join(known.select(F.col("id").alias("event_id")), "event_id", "left_anti"), "ids")
+        ids = tables.staged(spark, ids.join(shuffled(known.select(F.col("id").alias("event_id"))), "event_id", "left_anti"), "ids")
     idindex.add(spark, lake.path(EVENT_IDS), ids)
     if labels_changed:
         refresh_ground_truth(spark, lake)
@@ -201,7 +201,7 @@ def _stamped(state: DataFrame, batch: str | None = None) -> DataFrame:
 def _merge_latest(spark: SparkSession, lake: Lakehouse, latest: DataFrame, before: DataFrame) -> None:
     """Store new snapshots and the features of the areas their units are in or were in (``before``)."""
     was = before.select("id_wilayah", *[F.col(c).alias(f"_was_{c}") for c in V.AREA_KEYS])
-    moved = tables.staged(spark, latest.join(was, "id_wilayah", "left"), "latest")
+    moved = tables.staged(spark, latest.join(shuffled(was), "id_wilayah", "left"), "latest")
     latest = moved.drop(*was.columns[1:])
     touched = latest.select(*V.AREA_KEYS).unionByName(moved.select(*[F.col(f"_was_{c}").alias(c) for c in V.AREA_KEYS])).distinct()
     tables.merge_table(spark, lake.path(LATEST), latest, ["id_wilayah"], unique_source=True, stored_source=True, **HISTORY_LAYOUT)
@@ -237,7 +237,7 @@ def fold_events(spark: SparkSession, lake: Lakehouse, events: DataFrame, batch:
 
     def state() -> None:
         states = _read(spark, lake, UNIT_STATE)
-        todo = fresh.join(states.filter(F.col("folded") == batch), "id_wilayah", "left_anti")
+        todo = fresh.join(shuffled(states.filter(F.col("folded") == batch)), "id_wilayah", "left_anti")
         merged = unit_state.merge_state(scope_by_keys(states, todo), unit_state.event_state(todo))
         tables.merge_table(spark, lake.path(UNIT_STATE), _stamped(merged, batch), ["id_wilayah"], null_safe=True, unique_source=True)
 
@@ -282,7 +282,7 @@ def attach_unit_geometry(scored: DataFrame, units: DataFrame | None) -> DataFram
     """geometry_wkt and jiwa_terdampak of the unit; without a registry the stored population, else 0."""
     if units is not None:
         place = units.select("id_wilayah", "geometry_wkt", F.col("total_jiwa").alias("jiwa_terdampak"))
-        return scored.drop("geometry_wkt", "jiwa_terdampak").join(place, "id_wilayah", "left")
+        return scored.drop("geometry_wkt", "jiwa_terdampak").join(shuffled(place), "id_wilayah", "left")
     people = F.col("total_jiwa") if "total_jiwa" in scored.columns else F.lit(0)
     return scored.drop("total_jiwa").withColumns({"geometry_wkt": F.lit(""), "jiwa_terdampak": people.cast("long")})
 

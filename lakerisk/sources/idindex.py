@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.operators.joins import match_rows
+from lakerisk.operators.joins import match_rows, shuffled
 from lakerisk.sources import tables
 
 PIECE_SHIFT = 15
@@ -88,7 +88,7 @@ def candidates(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
     byte = F.conv(F.hex(F.expr("substring(bits, shiftright(bit, 3) + 1, 1)")), 16, 10).cast("long")
     is_set = F.getbit(byte, F.col("bit").bitwiseAND(7)) == 1
     met = (F.col("folder") == F.col("_folder")) & (F.col("piece") == F.col("_piece")) & is_set
-    return placed.join(pieces, met, "left_semi").select("id", "folder")
+    return placed.join(shuffled(pieces), met, "left_semi").select("id", "folder")
 
 
 def find(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame | None:
@@ -99,7 +99,7 @@ def find(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame | None:
     if not folders:
         return None
     stored = spark.read.schema(f"id {ids.dtypes[0][1]}, batch string, folder int").parquet(f"{path}/ids")
-    return stored.filter(F.col("folder").isin(folders)).join(possible, ["folder", "id"]).select("id", "batch")
+    return stored.filter(F.col("folder").isin(folders)).join(shuffled(possible), ["folder", "id"]).select("id", "batch")
 
 
 def name_of(rows: DataFrame, key: str) -> str:

@@ -215,7 +215,7 @@ def _in_partitions(target: DataFrame, touched: DataFrame, cols: Sequence[str]) -
     filter that prunes the scan; beyond that they are joined."""
     few = touched.limit(MAX_PRUNED + 1).collect()
     if len(few) > MAX_PRUNED:
-        return match_rows(target, touched, cols, "left_semi", null_safe=True)
+        return match_rows(target, touched, cols, "left_semi", null_safe=True, few=True)
     tests = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in cols]) for row in few]
     return target.filter(reduce(or_, tests, F.lit(False)))
 
@@ -274,8 +274,8 @@ def merge_table(
         return
     merged = staged(spark, upsert(_in_partitions(target, touched, cols), source, keys, True, null_safe))
     # A partition that lost its last row has nothing to overwrite it with.
-    occupied = match_rows(target.select(*cols).distinct(), touched, cols, "left_semi", null_safe=True)
-    if match_rows(occupied, merged.select(*cols).distinct(), cols, "left_anti", null_safe=True).isEmpty():
+    occupied = match_rows(target.select(*cols).distinct(), touched, cols, "left_semi", null_safe=True, few=True)
+    if match_rows(occupied, merged.select(*cols).distinct(), cols, "left_anti", null_safe=True, few=True).isEmpty():
         _write(merged, path, cols, order, "dynamic")
     else:
         _write(staged(spark, upsert(target, source, keys, True, null_safe)), path, cols, order, "static")

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from seed import unit, units
 
-from lakerisk.operators import geo, linkage, serving
+from lakerisk.operators import geo, joins, linkage, serving
 from lakerisk.operators.linkage import FIELD_POINTS
+from lakerisk.plans import medallion as M
 from lakerisk.sources.files import to_geojson_features
 
 
@@ -116,6 +117,24 @@ def test_bbox_join_deals_pairs_over_tasks(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("REPARTITION_BY_NUM") >= 2
 
 
+def test_lookups_that_grow_with_the_units_are_not_broadcast(spark):
+    """Small files may hold much in memory, so their size does not decide."""
+    rows = units(spark, [unit("a", "K", "L"), unit("b", "K", "L")])
+    log = spark.createDataFrame([("e1", "a", None), ("e2", "b", None)], "event_id string, id_wilayah string, priority_score double")
+    ids = rows.select("id_wilayah")
+    made = {
+        "place": joins.lookup_left(log, rows, ["id_wilayah"], ["event_id"]),
+        "scope": joins.scope_by_keys(log, ids),
+        "match": joins.match_rows(log, ids, ["id_wilayah"], "left_anti"),
+        "geometry": M.with_geometry(log, rows),
+        "people": M.attach_unit_geometry(log, rows),
+    }
+    for name, frame in made.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, name
+    assert [made[name].count() for name in made] == [2, 2, 0, 2, 2]
+
+
 def test_viewport_filter_reaches_the_scan(spark, tmp_path):
     geo.unit_map(units(spark, [unit("a", "K", "L")])).write.parquet(str(tmp_path / "map"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
