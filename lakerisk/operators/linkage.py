@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.functions.text import norm_text
 from lakerisk.operators.geo import with_bounds
-from lakerisk.operators.joins import heavy_keys, lookup_left
+from lakerisk.operators.joins import heavy_keys, lookup_left, split_parts
 from lakerisk.vocabulary import HIERARCHY
 
 # Points for an equal field.
@@ -31,6 +31,8 @@ def match_units(requests: DataFrame, units: DataFrame) -> DataFrame:
     sets = _field_sets()
     usable = with_bounds(units, "geometry_wkt").filter(F.col("minx").isNotNull())
     names = usable.select("id_wilayah", *[F.nullif(norm_text(F.col(f)), F.lit("")).alias(f) for f in fields])
+    # Each unit becomes a row per set, sorted to find the smallest id: dealt out first, however few files hold the units.
+    names = names.repartition(split_parts(units.sparkSession), "id_wilayah")
     # grouping_id() sets bit i (from the left) when field i is left out of the set.
     best = (
         names.groupingSets([[F.col(f) for f in s] for s in sets], *fields)

@@ -163,6 +163,14 @@ def brute_match(request, places):
     return min(scored) if scored else None
 
 
+def test_match_units_deals_units_before_they_multiply(spark):
+    """The rows of all field sets are sorted in many tasks, even if one file holds all units."""
+    registry = units(spark, [unit("a", "K", "L")]).coalesce(1)
+    requests = spark.createDataFrame([("r", "K", "L", "1", "1")], "request_id STRING, kecamatan STRING, kelurahan STRING, rw STRING, rt STRING")
+    plan = linkage.match_units(requests, registry)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "REPARTITION_BY_NUM" in plan.split("Expand", 1)[1]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_match_units_equals_brute_force(spark, seed):
     rng = random.Random(seed)
