@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.functions import geometry as G
 from lakerisk.operators.joins import split_parts
+from lakerisk.sources.tables import staged
 
 FIRST_CELL_DEG = 0.01
 LEVELS = 64  # the last cell size exceeds any coordinate
@@ -58,9 +59,13 @@ def unit_map(units: DataFrame, cell_deg: float = 0.05) -> DataFrame:
     """Units with normalized geometry, neighbours stored together.
 
     Range-sorted by grid cell, so that a viewport touches few files and the
-    row groups of the rest are skipped by their minx..maxy statistics.
+    row groups of the rest are skipped by their minx..maxy statistics. The registry may be one
+    file, so its rows are dealt out before their texts are parsed, and the result is written to
+    the scratch folder: the sort reads its input twice.
     """
-    located = normalize_geometry(units)
+    spark = units.sparkSession
+    dealt = units.repartition(split_parts(spark), "id_wilayah", "geometry_wkt")
+    located = staged(spark, normalize_geometry(dealt), "located")
     cell = [F.floor(F.col(c) / F.lit(cell_deg)) for c in ("minx", "miny")]
     return located.orderBy(*cell, "id_wilayah")
 

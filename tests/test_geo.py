@@ -144,6 +144,16 @@ def test_viewport_filter_reaches_the_scan(spark, tmp_path):
     assert seen.count() == 1
 
 
+def test_unit_map_parses_a_registry_of_one_file_in_many_tasks_and_once(spark):
+    rows = units(spark, [unit(f"u{i}", "K", "L", geometry=TEXTS["polygon"]) for i in range(50)] + [unit(None, "K", "L", geometry=g) for g in TEXTS.values()])
+    found = geo.unit_map(rows.coalesce(1))
+    assert len(found.inputFiles()) > 8
+    assert "from_json" not in found._jdf.queryExecution().executedPlan().toString()
+    columns = [*rows.columns, *geo.G.BOUNDS, "geometry", "geometry_error"]
+    assert found.select(columns).exceptAll(geo.normalize_geometry(rows).select(columns)).isEmpty()
+    assert found.count() == 50 + len(TEXTS)
+
+
 def test_ids_override_the_viewport(spark):
     df = units(spark, [unit("a", "K", "L"), unit("b", "K", "L"), unit("c", "K", "L", geometry=None)])
     gold = spark.createDataFrame([("a", 10.0, "Ringan")], "id_wilayah STRING, risk_score DOUBLE, risk_level STRING")
