@@ -255,7 +255,7 @@ def train(
         total = rows.count()
         if total == 0:
             return None
-        train_rows, test_rows = ml.train_test_split(rows, total)
+        train_rows, test_rows = ml.train_test_split(ml.in_few_parts(rows), total)
         pipeline = ml.rf_pipeline(trees, depth)
         search = ml.fit_cv(pipeline, train_rows, folds)
         model = search.bestModel if search else pipeline.fit(train_rows)
