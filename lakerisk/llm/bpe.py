@@ -1,32 +1,45 @@
-"""Byte-level BPE encoding and decoding with Spark's own functions.
+"""Byte-level BPE encoding and decoding.
 
-Ranks are one literal: an array of small maps, filed by hash, from a token's bytes
-(in hexadecimal digits) to its rank. A word's bytes are folded by higher-order
-functions: each step joins the pair of lowest rank until no pair is a token.
+Spark counts the matches of the pattern over all texts; the most frequent are folded once, any other once per task. A
+match's bytes are folded by ranked merges: the pair of lowest rank is joined until no pair is a token.
 """
 
 import base64
-import json
+import hashlib
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakerisk.llm.text import let, whole
+from lakerisk.llm.text import whole
 from lakerisk.sources.tables import staged
 
-SHELVES = 16384
-NO_RANK = 2**31 - 1
-#: Bytes up to which a word is folded pair by pair; not a limit, see ``fold``.
+#: Letters and numbers that joined Unicode after version 16, which tiktoken's pattern goes by.
+NEWER = (
+    "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee "
+    "11b0a 11db0-11ddb 11de0-11de9 11df1 1246f 12475-1247f 12550-12686 16ea0-16eb8 16ebb-16ed3 16ff2-16ff6 187f8-187ff 18cd6-18cda "
+    "18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de "
+    "1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
+)
+#: Bytes up to which a word's pairs are searched one by one; those of longer ones lie in a heap.
 SHORT = 64
+NO_RANK = 1 << 40
+#: Neither a letter, a number nor white space.
+PRIVATE = "\ue000"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """The ``common`` most frequent words of the corpus are folded once, and looked up after; others are folded where they stand."""
+    """The ``common`` most frequent words of the corpus are folded once; a task remembers so many others (``cache``)."""
 
     common: int = 65536
+    cache: int = 400_000
 
 
 SETTINGS = Settings()
@@ -37,149 +50,123 @@ def java_pattern(pattern: str) -> str:
     return pattern.replace(r"[^\s", r"[^\p{IsWhite_Space}").replace(r"\s", r"\p{IsWhite_Space}").replace(r"\S", r"\P{IsWhite_Space}")
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Function from a text to the matches of the tokenizers' pattern, as tiktoken finds them."""
+    import regex
 
+    matches = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+    ranges = [[chr(int(x, 16)) for x in part.split("-")] for part in NEWER.split()]
+    newer = re.compile(f"[{''.join('-'.join(r) for r in ranges)}]")
+    # A single range is searched at a fiftieth of the time.
+    maybe = re.compile(f"[{ranges[0][0]}-{ranges[-1][-1]}]")
 
-def _shelf(key: str) -> int:
-    return (xxhash.xxh64_intdigest(key.encode(), 42) - (1 << 63) * 2 * (xxhash.xxh64_intdigest(key.encode(), 42) >> 63)) % SHELVES
+    def split(text: str) -> list[str]:
+        if maybe.search(text) and newer.search(text):
+            return [text[m.start() : m.end()] for m in matches.finditer(newer.sub(PRIVATE, text))]
+        return matches.findall(text)
 
+    return split
 
-def _filed(entries: dict[str, object], value_type: str) -> Column:
-    """Literal array of maps; an entry lies in the map that its key's hash names."""
-    shelves: list[dict[str, object]] = [{} for _ in range(SHELVES)]
-    for key, value in entries.items():
-        shelves[_shelf(key)][key] = value
-    return F.from_json(F.lit(json.dumps(shelves, ensure_ascii=False, separators=(",", ":"))), f"array<map<string,{value_type}>>")
 
-
-def _look_up(filed: Column, key: Column) -> Column:
-    return F.element_at(F.get(filed, F.pmod(F.xxhash64(key), F.lit(SHELVES)).cast("int")), key)
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
 class Codec:
-    """Columns that encode and decode by one rank file."""
+    """Encodes and decodes by one rank file; tasks get a copy."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.pattern = java_pattern(pattern)
-        self.ranks = _filed({token.hex().upper(): rank for token, rank in ranks.items()}, "int")
-        ordered = [b""] * (max(ranks.values(), default=-1) + 1)
+        self.ranks, self.pattern = ranks, pattern
+        self.pieces = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            ordered[rank] = token
-        self.pieces = F.split(F.lit(",".join(t.hex() for t in ordered)), ",")
-        self.little = F.split(F.lit(",".join(i.to_bytes(4, "little").hex() for i in range(len(ordered)))), ",")
-
-    def split(self, text: Column) -> Column:
-        return F.regexp_extract_all(text, F.lit(f"({self.pattern})"))
-
-    def fold(self, word: Column) -> Column:
-        """array<int> of ids of one match of the pattern.
-
-        Both ways of folding give the same ids. A step of the first costs two look-ups but joins one
-        pair; a step of the second looks up all pairs but joins every occurrence of the best one,
-        so that a long run of one letter takes few steps.
-        """
-
-        def of(digits: Column) -> Column:
-            def by(ranks: Column) -> Column:
-                folded = F.when(F.length(digits) <= 2 * SHORT, self._fold_short(digits, ranks)).otherwise(self._fold_long(digits, ranks))
-                return let(_look_up(ranks, digits), lambda rank: F.when(rank.isNotNull(), F.array(rank)).otherwise(folded))
-
-            return let(self.ranks, by)  # named once: each mention would be a literal of its own in the plan
-
-        return let(F.hex(F.encode(word, "UTF-8")), of)
-
-    def _fold_short(self, digits: Column, filed: Column) -> Column:
-        """Keeps the rank of each pair of neighbours beside the tokens; joining one pair renews two ranks."""
-        none = F.array().cast("array<int>")
-        rank = lambda a, b: F.coalesce(_look_up(filed, F.concat(a, b)), F.lit(NO_RANK))
-        start = let(
-            F.split(F.regexp_replace(digits, "(..)(?=.)", "$1,"), ","),
-            lambda parts: F.struct(
-                parts.alias("parts"),
-                F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda a, i: rank(a, F.get(parts, i + 1))).alias("ranks"),
-            ),
-        )
-
-        def step(state: Column, _: Column) -> Column:
-            parts, ranks = state["parts"], state["ranks"]
-
-            def join_at(at: Column) -> Column:
-                """Joins entries ``at`` and ``at`` + 1, counted from one."""
-
-                def with_token(token: Column) -> Column:
-                    left = F.when(at > 1, F.array(rank(F.get(parts, at - 2), token))).otherwise(none)
-                    right = F.when(at < F.size(ranks), F.array(rank(token, F.get(parts, at + 1)))).otherwise(none)
-                    kept = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(token), F.slice(parts, at + 2, F.size(parts)))
-                    renewed = F.concat(
-                        F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(ranks, at + 2, F.size(parts))
-                    )
-                    return F.struct(kept.alias("parts"), renewed.alias("ranks"))
-
-                return let(F.concat(F.get(parts, at - 1), F.get(parts, at)), with_token)
-
-            # Rank and place in one number: its minimum is the first pair of lowest rank.
-            placed = F.transform(ranks, lambda r, i: r.cast("long") * SHORT + i)
-            best = lambda low: F.when(low < NO_RANK * SHORT, let((low % SHORT).cast("int") + 1, join_at)).otherwise(state)
-            return let(F.coalesce(F.array_min(placed), F.lit(NO_RANK * SHORT)), best)
-
-        steps = F.sequence(F.lit(1), F.greatest(F.length(digits) / 2, F.lit(1)).cast("int"))
-        return F.aggregate(steps, start, step, lambda state: F.transform(state["parts"], lambda p: _look_up(filed, p)))
-
-    def _fold_long(self, digits: Column, filed: Column) -> Column:
-        """Keeps the tokens as one string; a step replaces every occurrence of the best pair."""
-        # Each token stands between commas of its own: ",61,,62,". Split at commas, token i is entry 2i + 1.
-        apart = F.regexp_replace(digits, "(..)", ",$1,")
-        at = lambda parts, i: F.get(parts, 2 * i + 1)
-
-        def step(state: Column, _: Column) -> Column:
-            def lowest(parts: Column) -> Column:
-                def pair(i: Column) -> Column:
-                    rank = _look_up(filed, F.concat(at(parts, i), at(parts, i + 1)))
-                    return F.struct(F.coalesce(rank, F.lit(NO_RANK)).alias("rank"), i.alias("i"))
-
-                last = F.floor(F.size(parts) / 2).cast("int") - 2
-                best = F.array_min(F.transform(F.sequence(F.lit(0), last), pair))
-                named = lambda b: F.struct(b["rank"].alias("rank"), at(parts, b["i"]).alias("a"), at(parts, b["i"] + 1).alias("b"))
-                return F.when(last >= 0, let(best, named))
-
-            def joined(best: Column) -> Column:
-                old = F.concat(F.lit(","), best["a"], F.lit(",,"), best["b"], F.lit(","))
-                new = F.concat(F.lit(","), best["a"], best["b"], F.lit(","))
-                more = F.coalesce(best["rank"] < NO_RANK, F.lit(False))
-                return F.struct(F.when(more, F.replace(state["parts"], old, new)).otherwise(state["parts"]).alias("parts"), (~more).alias("done"))
-
-            return F.when(state["done"], state).otherwise(let(let(F.split(state["parts"], ","), lowest), joined))
-
-        def ids(state: Column) -> Column:
-            parts = F.filter(F.split(state["parts"], ","), lambda p: p != "")
-            return F.transform(parts, lambda p: _look_up(filed, p))
-
-        steps = F.sequence(F.lit(1), F.greatest(F.length(digits) / 2, F.lit(1)).cast("int"))
-        start = F.struct(apart.alias("parts"), F.lit(False).alias("done"))
-        return F.aggregate(steps, start, step, ids)
-
-    def common_words(self, spark: SparkSession, docs: DataFrame, s: Settings = SETTINGS) -> Column | None:
-        """Literal with the ids of the most frequent words, counted over all texts."""
-        words = docs.select(F.explode(self.split(whole("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+            self.pieces[rank] = token
+
+    def fold(self, word: bytes) -> list[int]:
+        """Ids of one match of the pattern: joins the pair of lowest rank, the first of equal ones, until none is a token."""
+        if word in self.ranks:
+            return [self.ranks[word]]
+        return self._fold_short(word) if len(word) <= SHORT else self._fold_long(word)
+
+    def _fold_short(self, word: bytes) -> list[int]:
+        """Keeps the rank of each pair of neighbours beside the parts."""
+        rank = self.ranks.get
+        parts = [word[i : i + 1] for i in range(len(word))]
+        pairs = [rank(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+        while pairs and (lowest := min(pairs)) < NO_RANK:
+            at = pairs.index(lowest)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], NO_RANK)
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1], NO_RANK)
+        return [self.ranks[part] for part in parts]
+
+    def _fold_long(self, word: bytes) -> list[int]:
+        ranks = self.ranks
+        n = len(word)
+        # Where the part that begins at a byte ends (0: none begins there), and where the part before it begins.
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pairs = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
+        heapify(pairs)
+        while pairs:
+            _, start, end = heappop(pairs)
+            middle = ends[start]
+            if not 0 < middle < end or ends[middle] != end:
+                continue  # one of the two has been joined to another since
+            ends[start], ends[middle] = end, 0
+            left = before[start]
+            if left >= 0 and word[left:end] in ranks:
+                heappush(pairs, (ranks[word[left:end]], left, end))
+            if end < n:
+                before[end] = start
+                if word[start : ends[end]] in ranks:
+                    heappush(pairs, (ranks[word[start : ends[end]]], start, ends[end]))
+        return [ranks[word[start:end]] for start, end in enumerate(ends) if end]
+
+    def packed(self, word: str) -> bytes:
+        """The ids of one match as little-endian 32-bit numbers."""
+        return np.array(self.fold(word.encode()), "<u4").tobytes()
+
+    def common_words(self, spark: SparkSession, docs: DataFrame, s: Settings = SETTINGS) -> dict[str, bytes]:
+        """The packed ids of the most frequent words, counted over all texts."""
+        found = F.regexp_extract_all(whole("text"), F.lit(f"({java_pattern(self.pattern)})"))
+        words = docs.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         top = staged(spark, words.orderBy(F.desc("n"), "word").limit(s.common).select("word"), "words")
-        folded = top.repartition(spark.sparkContext.defaultParallelism).select("word", self.fold(F.col("word")).alias("ids"))
-        found = {r["word"]: r["ids"] for r in folded.collect()}
-        return _filed(found, "array<int>") if found else None
 
-    def encode(self, text: Column, common: Column | None) -> Column:
-        """array<int> of ids; empty for empty text."""
-        of = self.fold if common is None else lambda w: F.coalesce(_look_up(common, w), self.fold(w))
-        return F.flatten(F.transform(self.split(text), of))
+        def of(batches):
+            for batch in batches:
+                ids = [self.packed(w) for w in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["word", "ids"])
+
+        folded = top.repartition(spark.sparkContext.defaultParallelism).mapInArrow(of, "word string, ids binary")
+        return {r["word"]: bytes(r["ids"]) for r in folded.collect()}
+
+    def encode(self, docs: DataFrame, common: dict[str, bytes], s: Settings = SETTINGS) -> DataFrame:
+        """(doc_id, ids) of every row; no ids for empty text."""
+
+        def of(batches):
+            split, known = splitter(self.pattern), dict(common)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 128):
+                    made = []
+                    for text in batch.column(1)[at : at + 128].to_pylist():
+                        words = split(text)
+                        for word in set(words).difference(known):
+                            known[word] = self.packed(word)
+                        made.append(b"".join(map(known.__getitem__, words)))
+                        if len(known) > len(common) + s.cache:
+                            known = dict(common)
+                    cuts = np.concatenate(([0], np.cumsum([len(m) // 4 for m in made])))
+                    ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(np.frombuffer(b"".join(made), "<i4")))
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 128], ids], ["doc_id", "ids"])
 
-    def decode(self, ids: Column) -> Column:
-        """Bytes: the tokens' binary pieces, joined."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
+        rows = docs.select("doc_id", whole("text").alias("text"))
+        return rows.mapInArrow(of, T.StructType([rows.schema["doc_id"]]).add("ids", T.ArrayType(T.IntegerType())))
 
-    def packed(self, ids: Column) -> Column:
-        """Bytes of the ids as little-endian 32-bit numbers."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.little, i)), ""))
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids))
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, s: Settings = SETTINGS) -> tuple[DataFrame, Codec]:
@@ -189,19 +176,22 @@ def encode_documents(spark: SparkSession, docs: DataFrame, rank_file: str, patte
     give no rows. Which words are common changes the time, never the ids.
     """
     codec = Codec(read_ranks(rank_file), pattern)
-    common = codec.common_words(spark, docs, s)
-    return docs.select("doc_id", codec.encode(whole("text"), common).alias("ids")), codec
+    return codec.encode(docs, codec.common_words(spark, docs, s), s), codec
 
 
 def digest(encoded: DataFrame, codec: Codec) -> DataFrame:
-    of = let(
-        F.col("ids"),
-        lambda ids: F.struct(
-            F.size(ids).cast("long").alias("n"),
-            F.sha2(codec.packed(ids), 256).alias("ids"),
-            F.sha2(codec.decode(ids), 256).alias("text"),
-        ),
-    )
-    return encoded.select("doc_id", of.alias("_d")).select(
-        "doc_id", F.col("_d.n").alias("n_tokens"), F.col("_d.ids").alias("ids_sha256"), F.col("_d.text").alias("decoded_sha256")
-    )
+    """doc_id, n_tokens, ids_sha256, and decoded_sha256 of the bytes that the ids stand for."""
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def of(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                rows = []
+                for ids in batch.column(1)[at : at + 128]:
+                    numbers = ids.values.to_numpy()
+                    rows.append((len(numbers), hashlib.sha256(numbers.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(codec.decode(numbers.tolist())).hexdigest()))
+                made = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 128], *made], ["doc_id", *names])
+
+    schema = T.StructType([encoded.schema["doc_id"]]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    return encoded.select("doc_id", "ids").mapInArrow(of, schema)

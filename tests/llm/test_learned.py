@@ -128,6 +128,25 @@ def test_bpe_matches_the_library(spark, texts, library, common):
     assert got == Counter((r.doc_id, *digest(library, r.text)) for r in rows.collect())
 
 
+def test_bpe_folds_any_word_as_the_library_does(library):
+    """Random bytes of few kinds, repeats that overlap, and a run that pairwise folding would take hours for."""
+    codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    noise = np.random.default_rng(21)
+    made = ["".join(noise.choice(list(kinds), noise.integers(1, 90))) for kinds in ("ab", "aabn", "theraingo", "éa中🙂") for _ in range(200)]
+    for word in [*made, "the" * 60, "x" * 100_000]:
+        assert codec.fold(word.encode()) == library._encode_single_piece(word)
+
+
+def test_bpe_splits_letters_as_the_library_does(library):
+    """One letter of each Unicode block, those newer than tiktoken's tables included."""
+    split = bpe.splitter(public_tokenizers.PATTERN)
+    letters = [chr(c) for c in range(0xA0, 0x40000, 37) if not 0xD800 <= c < 0xE000] + ["\x85", "\u2003", "\U00010940", "\U000323b0", "\u0558"]
+    codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    for text in (f"a{c}b 1{c}2 {c}{c} !{c}s  {c}\n" for c in letters):
+        words = split(text)
+        assert "".join(words) == text and [i for w in words for i in codec.fold(w.encode())] == library.encode_ordinary(text)
+
+
 def test_bpe_of_no_rows(spark, none):
     encoded, codec = bpe.encode_documents(spark, none, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     assert bpe.digest(encoded, codec).count() == 0
