@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakerisk.llm.bits import gathered, is_set, piece
 from lakerisk.llm.text import boxed, fold, unboxed, whole
 from lakerisk.sources.tables import staged
 
@@ -62,6 +63,8 @@ class Settings:
 SETTINGS = Settings()
 #: Beginnings that are at least this likely are kept, with all words under them.
 NOTED = 0.25
+#: Pieces of 32,768 ids up to which labels are broadcast as bits, two of 4 KB each.
+MOST_PIECES = 4096
 #: Chance at which some beginning of a table without toxic beginnings may be noted.
 CHANCE = 0.05
 
@@ -215,10 +218,26 @@ class Model:
 
 
 def _learned(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of all labelled rows outside the held-out fold."""
+    """(text, toxic) of all labelled rows outside the held-out fold.
+
+    Labels of whole-numbered ids that lie in few pieces are broadcast as bits, so that texts stay where they are; others
+    are joined by shuffle.
+    """
     told = labels.filter("doc_id is not null and toxic is not null").filter(fold("doc_id", 4) != 2)
-    told = told.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.select("doc_id", "text").filter("text is not null").join(told, "doc_id").select("text", "toxic")
+    told = staged(docs.sparkSession, told.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labels")
+    rows = docs.select("doc_id", "text").filter("text is not null")
+    whole_ids = all(isinstance(t.schema["doc_id"].dataType, T.IntegralType) for t in (rows, told))
+    if not whole_ids or told.select(piece(_place())).distinct().count() > MOST_PIECES:
+        return rows.join(told, "doc_id").select("text", "toxic")
+    pieces = told.groupBy(piece(_place()).alias("_piece")).agg(
+        gathered(_place()).alias("_told"), gathered(F.when(F.col("toxic") == 1, _place())).alias("_toxic")
+    )
+    found = rows.join(F.broadcast(pieces), piece(_place()) == F.col("_piece")).filter(is_set("_told", _place()))
+    return found.select("text", is_set("_toxic", _place()).cast("int").alias("toxic"))
+
+
+def _place() -> Column:
+    return F.col("doc_id").cast("long")
 
 
 def _sightings(rows: DataFrame) -> DataFrame:

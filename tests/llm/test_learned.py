@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakerisk.llm import bpe, langid, lm, packing, similar, simhash, toxicity
+from lakerisk.llm.bits import sieve
 from lakerisk.llm.queries import QUERIES
 from lakerisk.llm.text import fold
 
@@ -253,6 +254,33 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert learned.count() == labels.filter("crc32(cast(doc_id as string)) % 4 <> 2").count() > 20_000
 
 
+@pytest.mark.parametrize("step", [1, 2**40, -3])
+def test_texts_stay_where_they_are_while_labels_are_found(spark, step, monkeypatch):
+    """Repeated rows, null and repeated labels; by bits where ids lie close, by shuffle where they do not."""
+    monkeypatch.setattr(toxicity, "MOST_PIECES", 30)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        ids = [i * step for i in range(200)]
+        docs = spark.createDataFrame([(i, f"text {i}") for i in [*ids, *ids[:20], None]] + [(ids[50], None)], "doc_id long, text string")
+        told = [(i, k % 2) for k, i in enumerate(ids[:150])] + [(ids[4], 1), (ids[6], None), (None, 1), (ids[90], 2)]
+        learned = toxicity._learned(docs, spark.createDataFrame(told, "doc_id long, toxic int"))
+        toxic = {i: max(t for j, t in told if j == i and t is not None) == 1 for i in ids[:150]}
+        of = lambda i: zlib.crc32(str(i).encode()) % 4
+        want = Counter((f"text {i}", toxic[i]) for i in [*ids, *ids[:20]] if i in toxic and of(i) != 2)
+        assert Counter((r.text, r.toxic == 1) for r in learned.collect()) == want
+        assert ("SortMergeJoin" in learned._jdf.queryExecution().executedPlan().toString()) == (step == 2**40)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sieve_keeps_all_wanted_rows_and_few_others(spark):
+    rows = spark.range(40_000).selectExpr("if(id = 7, null, id) as doc_id", "id as n")
+    wanted = rows.filter("n % 100 = 7").select("doc_id")
+    kept = {r.n for r in sieve(rows, wanted, "doc_id").collect()}
+    assert {n for n in range(40_000) if n % 100 == 7} <= kept and len(kept) < 400 + 40_000 / 16
+    assert sieve(rows, wanted.limit(0), "doc_id").count() == 0
+
+
 def test_tokens_without_letters_are_decoded(spark):
     """A word that digits and signs alone can spell."""
     noise = np.random.default_rng(11)
