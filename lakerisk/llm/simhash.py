@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakerisk.llm.bits import sieve
 from lakerisk.llm.text import boxed, unboxed, whole
 from lakerisk.sources.tables import staged
 
@@ -237,8 +238,10 @@ def one_of_each(
     first = times.filter(single).join(of, F.col("fp") == F.col("_fp")).filter("doc_id = component_id").select("doc_id")
     plain = rows.join(first, "doc_id", "left_semi").select("_row")
 
-    shared = times.filter(~single).select(F.col("doc_id").alias("_id"))
-    odd = rows.join(shared, rows["doc_id"].eqNullSafe(shared["_id"]), "left_semi")
+    repeated = staged(spark, times.filter(~single).select("doc_id"), "repeated")
+    shared = repeated.select(F.col("doc_id").alias("_id"))
+    some = sieve(rows, repeated, "doc_id")
+    odd = some.join(shared, some["doc_id"].eqNullSafe(shared["_id"]), "left_semi")
     odd = prints(odd, ("_row", "doc_id")).join(of, F.col("fp") == F.col("_fp"))
     odd = odd.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("_row")))
