@@ -13,7 +13,7 @@ from test_runs import TABLES, lakehouse, log, state
 
 from lakerisk import schemas
 from lakerisk import vocabulary as V
-from lakerisk.operators import forecast, history, ml, unit_state
+from lakerisk.operators import forecast, history, joins, ml, ranking, unit_state
 from lakerisk.operators.clusters import Clusters, farther_than_nearest, model_table
 from lakerisk.plans import medallion as M
 from lakerisk.sources import files, idindex, tables
@@ -84,6 +84,31 @@ def test_folding_reads_neither_log_nor_history(spark, tmp_path, monkeypatch):
     assert read and not [p for p in read if p in (lake.path(M.SURVEY), lake.path(M.HISTORY))]
 
 
+@pytest.mark.parametrize("streamed", [False, True])
+def test_refreshes_broadcast_nothing_that_grows_with_the_units(spark, tmp_path, monkeypatch, streamed):
+    """Whatever a full run, a folded batch or a stream writes: without heavy keys, Spark may broadcast rows of areas, ranges and clusters only."""
+    everything, plans = log(spark), []
+    for module in (joins, ranking):
+        monkeypatch.setattr(module, "split_parts", lambda spark: 1)
+    kind = type(everything)
+    write = kind.write.fget
+    monkeypatch.setattr(kind, "write", property(lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df)))
+    if streamed:
+        lake = lakehouse(spark, tmp_path / "lake", everything.filter("event_id < 'e2'"))
+        M.bronze_to_silver(spark, lake)
+        messages = tmp_path / "messages"
+        everything.select(F.to_json(F.struct(*everything.columns)).alias("value")).write.text(str(messages))
+        stream = files.read_events(spark, str(messages), schemas.SURVEY)
+        ingest.start_refresh(stream, ingest.survey_refresh(spark, lake), str(tmp_path / "checkpoint"), interval=None).awaitTermination()
+    else:
+        lake, newer, _ = started(spark, tmp_path / "lake", 2)
+        M.fold_events(spark, lake, newer)
+        M.silver_to_gold(spark, lake, newer.select("id_wilayah"))
+    keys = {key for plan in plans for on in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan) for key in re.findall(r"(\w+)#", on)}
+    assert "kelurahan" in keys and keys <= {"kelurahan", "kecamatan", "_range", "cluster_id"}
+    assert sum("SortMergeJoin" in plan for plan in plans) > 10 and not any("BroadcastNestedLoopJoin" in plan for plan in plans)
+
+
 def test_an_incremental_run_fits_nothing(spark, tmp_path, monkeypatch):
     lake, newer, _ = started(spark, tmp_path / "lake", 3)
     M.fold_events(spark, lake, newer)
