@@ -477,6 +477,39 @@ def test_near_duplicate_stage_in_groups_of_one_template(spark, data, own, shared
     assert sorted(r.doc_id for r in kept) == list(range(0, 300, 2))
 
 
+def test_near_duplicate_stage_finds_pairs_that_share_no_band(spark):
+    """Every pair at 0.8 is a link, also those of which no MinHash band agrees."""
+    noise = np.random.default_rng(15)
+    docs = []
+    for _ in range(12_000):
+        both = [f"s{x}" for x in noise.integers(10**15, size=8)]
+        pair = [" ".join([*both, f"o{noise.integers(10**15)}"]) for _ in range(2)]
+        one, two = (set(similar.bands(similar.shingle_set(text, 1))) for text in pair)
+        if not one & two:
+            docs += pair
+    assert len(docs) >= 4
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    kept = similar.one_of_each(spark, table, similarity=0.8, size=1).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, len(docs), 2))
+
+
+@pytest.mark.parametrize("often", [1, 10**9])
+def test_pairs_do_not_depend_on_which_shingles_are_called_frequent(spark, monkeypatch, often):
+    """All pairs of texts with a passage in common, by one order of the shingles or another."""
+    noise = np.random.default_rng(16)
+    monkeypatch.setattr(similar, "WATCHED", 1)
+    monkeypatch.setattr(similar, "OFTEN", often)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [passage[: noise.integers(40, 60)] + [f"o{x}" for x in noise.integers(40, size=noise.integers(1, 14))] for _ in range(120)]
+    sets = {i: set(d) for i, d in enumerate(docs)}
+    near = [(a, b) for a, b in combinations(sets, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    table = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    ids = {r.fp: r.doc_id for r in similar.keys(table).collect()}
+    linked = [(ids[r.a], ids[r.b]) for r in similar.links(spark, table, 0.8, 1).collect()]
+    assert set(map(frozenset, linked)) <= set(map(frozenset, near))
+    assert smallest(list(sets), linked) == smallest(list(sets), near)
+
+
 def test_stages_follow_each_other(spark, data, documents):
     docs = documents.withColumn("score", F.lit("x"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
