@@ -4,11 +4,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.functions import geometry as G
-from lakerisk.operators.joins import split_parts
+from lakerisk.operators.joins import MOST_PARTS, shuffled, split_parts
 from lakerisk.sources.tables import staged
 
-FIRST_CELL_DEG = 0.01
+FIRST_CELL_DEG = 0.005
 LEVELS = 64  # the last cell size exceeds any coordinate
+FINENESS = 8  # a box covers about so many cells in each direction
+FINER = 2  # a unit's cell is so many levels below its size
+PAIRS_PER_PART = 20_000_000
 
 
 def _once(df: DataFrame, struct: Column) -> DataFrame:
@@ -55,17 +58,19 @@ def normalize_geometry(df: DataFrame, geom_col: str = "geometry_wkt", area_col:
     return bounded.withColumns({"geometry": geometry, "geometry_error": error}).drop("geo_type")
 
 
+def dealt(units: DataFrame) -> DataFrame:
+    """The registry may be one file, so its rows are dealt out before their texts are parsed."""
+    return units.repartition(split_parts(units.sparkSession), "id_wilayah", "geometry_wkt")
+
+
 def unit_map(units: DataFrame, cell_deg: float = 0.05) -> DataFrame:
     """Units with normalized geometry, neighbours stored together.
 
     Range-sorted by grid cell, so that a viewport touches few files and the
-    row groups of the rest are skipped by their minx..maxy statistics. The registry may be one
-    file, so its rows are dealt out before their texts are parsed, and the result is written to
-    the scratch folder: the sort reads its input twice.
+    row groups of the rest are skipped by their minx..maxy statistics. Dealt rows are located
+    and written to the scratch folder: the sort reads its input twice.
     """
-    spark = units.sparkSession
-    dealt = units.repartition(split_parts(spark), "id_wilayah", "geometry_wkt")
-    located = staged(spark, normalize_geometry(dealt), "located")
+    located = staged(units.sparkSession, normalize_geometry(dealt(units)), "located")
     cell = [F.floor(F.col(c) / F.lit(cell_deg)) for c in ("minx", "miny")]
     return located.orderBy(*cell, "id_wilayah")
 
@@ -108,47 +113,67 @@ def _cell_size(level: Column) -> Column:
     return F.lit(FIRST_CELL_DEG) * F.pow(F.lit(2.0), level)
 
 
-def _on_cells(df: DataFrame, level: str) -> DataFrame:
-    """One row per grid cell the bounds cover at the row's level (at most 2 x 2 from its own level up)."""
-
-    def span(low: str, high: str) -> Column:
-        size = _cell_size(F.col(level))
-        return F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
-
-    return df.withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
+def _cell(value: str, size: Column) -> Column:
+    return F.floor(F.col(value) / size)
 
 
 def bbox_join(boxes: DataFrame, units: DataFrame, spread: int = 8) -> DataFrame:
     """(box_id, id_wilayah) of every unit that meets each box, for many boxes at once.
 
-    Both sides sit on a grid of doubling cell sizes, each at the level of its own
-    size, and meet at the coarser of the two levels, so a row covers at most four
-    cells however large it is. A pair is reported only from the cell that holds
-    the lower left corner of the overlap, so no distinct is needed. Units of one
-    cell are spread over several tasks. Pairs may be far more than the rows they come
-    from, so both sides are dealt by cell to a fixed number of tasks: neither a broadcast
-    nor the merging of small partitions can leave the pairs to a few.
+    Both sides sit on a grid of doubling cell sizes. A unit lies in one cell, that of its lower left
+    corner, at a level set by its own size and at the coarser levels of boxes; a box covers, for each size of
+    units, all cells in which one that meets it can have its corner, some FINENESS of them in each direction
+    however large it is. So a pair meets once, no distinct is needed, and few pairs that meet do not overlap.
+
+    Pairs may be far more than the rows they come from. Both sides are counted by cell first, which tells
+    how many pairs there are: they are dealt by cell to so many tasks that neither a broadcast nor
+    the merging of small partitions can leave the pairs to a few, and the units of a cell with more than one task's
+    share are spread over ``spread`` tasks or more, its boxes repeated (of at most as many cells as there are tasks).
     """
+    spark = units.sparkSession
     span = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    b = boxes.select("box_id", *G.BOUNDS, _level(span).alias("_own"))
     u = units.filter(F.col("minx").isNotNull()).select("id_wilayah", *G.BOUNDS, _level(span).alias("_own"))
+    u = staged(spark, u, "units")
+    finest = F.greatest(F.lit(0), F.col("_own") - FINER)
+    size = _cell_size(finest)
+    # At most LEVELS + 1 rows: the cells a unit may reach beyond that of its corner.
+    reach = [F.max(F.greatest(F.lit(0), _cell(high, size) - _cell(low, size))).alias(name) for low, high, name in (("minx", "maxx", "x"), ("miny", "maxy", "y"))]
+    sizes = u.groupBy("_own").agg(*reach).collect()
+    b = boxes.select("box_id", *G.BOUNDS, _level(span / F.lit(FINENESS)).alias("_box"))
+    b = staged(spark, b.repartition(split_parts(spark), "box_id", *G.BOUNDS), "boxes")
+    levels = [r["_box"] for r in b.select("_box").distinct().collect()]
+    if not sizes or not levels:
+        return boxes.select("box_id").limit(0).crossJoin(units.select("id_wilayah").limit(0))
+
+    cell = ["_own", "_level", "_cx", "_cy"]
+    meeting = [F.greatest(finest, F.lit(level)) for level in levels]
+    u_cells = u.withColumn("_level", F.explode(F.array_distinct(F.array(*meeting))))
+    at = _cell_size(F.col("_level"))
+    u_cells = u_cells.withColumns({"_cx": _cell("minx", at), "_cy": _cell("miny", at)})
+    owned = F.array(*[F.struct(F.lit(r["_own"]).alias("_own"), F.lit(r["x"]).alias("_x"), F.lit(r["y"]).alias("_y")) for r in sizes])
+    b_cells = b.select("*", F.inline(owned)).withColumn("_level", F.greatest(finest, F.col("_box")))
+    for low, high, reached, name in (("minx", "maxx", "_x", "_cx"), ("miny", "maxy", "_y", "_cy")):
+        back = F.ceil(F.col(reached) / F.pow(F.lit(2.0), F.col("_level") - finest))  # cells of a coarser level hold 2 x 2 of a finer one
+        b_cells = b_cells.withColumn(name, F.explode(F.sequence(_cell(low, at) - back, _cell(high, at))))
+    b_cells = b_cells.drop("_box", "_x", "_y")
+
+    n = F.count(F.lit(1))
+    counted = u_cells.groupBy(*cell).agg(n.alias("_u")).join(shuffled(b_cells.groupBy(*cell).agg(n.alias("_b"))), cell)
+    counted = staged(spark, counted.select(*cell, "_u", (F.col("_u").cast("double") * F.col("_b")).alias("_pairs")), "cells")
+    total = counted.agg(F.sum("_pairs").alias("n")).first()["n"] or 0.0
+    parts = min(MOST_PARTS, max(split_parts(spark), int(total / PAIRS_PER_PART)))
+    share = F.col("_pairs") * F.lit(parts / max(total, 1.0))
+    copies = F.least(F.greatest(F.ceil(share), F.lit(spread)), F.col("_u"))
+    heavy = counted.filter(share > 1).select(*cell, copies.alias("_copies"))
+    deal = list(cell)
+    if not heavy.isEmpty():
+        u_cells, b_cells = (side.join(shuffled(heavy), cell, "left") for side in (u_cells, b_cells))
+        times = F.coalesce("_copies", F.lit(1))
+        u_cells = u_cells.withColumn("_salt", F.pmod(F.xxhash64("id_wilayah", *G.BOUNDS), times))
+        b_cells = b_cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
+        deal.append("_salt")
 
-    def on_levels(df: DataFrame, other: DataFrame) -> DataFrame:
-        """Each row at its own level and at the coarser levels the other side uses."""
-        in_use = other.agg(F.collect_set("_own")).scalar()  # at most LEVELS + 1 numbers
-        leveled = df.withColumn("_level", F.explode(F.array_union(in_use, F.array("_own"))))
-        return _on_cells(leveled.filter(F.col("_level") >= F.col("_own")), "_level")
-
-    deal = ["_level", "_cx", "_cy", "_salt"]
-    parts = split_parts(units.sparkSession)
-    u_cells = on_levels(u, b).withColumns({"_salt": F.pmod(F.xxhash64("id_wilayah"), F.lit(spread)).cast("int"), "_size": _cell_size(F.col("_level"))})
-    b_cells = on_levels(b, u).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     u_side, b_side = u_cells.repartition(parts, *deal).alias("u"), b_cells.repartition(parts, *deal).hint("merge").alias("b")
-    size = F.col("u._size")
-    meeting_level = F.col("u._level") == F.greatest(F.col("u._own"), F.col("b._own"))
-    corner_here = (
-        F.floor(F.greatest(F.col("u.minx"), F.col("b.minx")) / size) == F.col("u._cx")
-    ) & (F.floor(F.greatest(F.col("u.miny"), F.col("b.miny")) / size) == F.col("u._cy"))
     same = [F.col(f"u.{c}") == F.col(f"b.{c}") for c in deal]
     overlap = (
         (F.col("u.minx") <= F.col("b.maxx"))
@@ -156,4 +181,4 @@ def bbox_join(boxes: DataFrame, units: DataFrame, spread: int = 8) -> DataFrame:
         & (F.col("u.miny") <= F.col("b.maxy"))
         & (F.col("u.maxy") >= F.col("b.miny"))
     )
-    return u_side.join(b_side, [*same, meeting_level, overlap, corner_here]).select("box_id", "id_wilayah")
+    return u_side.join(b_side, [*same, overlap]).select("box_id", "id_wilayah")

@@ -96,4 +96,4 @@ def bbox_join(spark, d):
         f"{_BOX_X} + {_BOX_W} as maxx",
         f"{_BOX_Y} + {_BOX_W} as maxy",
     )
-    return geo.bbox_join(boxes, located(spark, d))
+    return geo.bbox_join(boxes, geo.normalize_geometry(geo.dealt(D.units(spark, d))))

@@ -8,7 +8,9 @@ from seed import unit, units
 
 from lakerisk.operators import geo, joins, linkage, serving
 from lakerisk.operators.linkage import FIELD_POINTS
+from lakerisk.plans import domain as D
 from lakerisk.plans import medallion as M
+from lakerisk.plans.catalog import QUERIES
 from lakerisk.sources.files import to_geojson_features
 
 
@@ -117,6 +119,40 @@ def test_bbox_join_deals_pairs_over_tasks(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("REPARTITION_BY_NUM") >= 2
 
 
+def test_bbox_join_locates_units_once_in_many_tasks(spark, data):
+    """The registry is one file: its texts are parsed once, not by the one task that reads it, and not again for each side."""
+    pairs = QUERIES["bbox_join"](spark, data)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "customer.parquet" not in plan
+    read = [f for f in pairs.inputFiles() if "/units/" in f]
+    assert 1 < len(read) <= geo.dealt(D.units(spark, data)).rdd.getNumPartitions()
+
+
+def test_bbox_join_splits_a_cell_of_many_pairs(spark):
+    """Units and boxes that lie in one spot are dealt over tasks, with ids that repeat or are missing, boxes turned over, and rows without bounds."""
+    place = lambda i: (None if i == 3 else str(i % 290), 1 + i / 1e6, 1.0, 1 + i / 1e6, 1.0)
+    view = lambda i: (str(i % 28), 1 + i / 1e5, 1.0, 1 + i / 1e5 + 1e-4, 1.001)
+    right = [*map(place, range(300)), ("wide", 0.0, 0.0, 5.0, 5.0), ("nowhere", None, None, None, None)]
+    left = [*map(view, range(30)), ("turned", 1.2, 1.2, 1.1, 1.1), ("nowhere", None, None, None, None)]
+    schema = "{} STRING, minx DOUBLE, miny DOUBLE, maxx DOUBLE, maxy DOUBLE"
+    found = geo.bbox_join(spark.createDataFrame(left, schema.format("box_id")), spark.createDataFrame(right, schema.format("id_wilayah")))
+    expected = [(b[0], u[0]) for b in left for u in right if None not in (b[1], u[1]) and overlaps(b[1:], u[1:])]
+    some = lambda pair: (pair[0], pair[1] or "")
+    assert sorted(map(some, found.collect())) == sorted(map(some, expected))
+    assert ("turned", "wide") in expected and "_salt" in found._jdf.queryExecution().executedPlan().toString()
+    tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 8
+
+
+@pytest.mark.parametrize("of", ["boxes", "units"])
+def test_bbox_join_of_no_rows(spark, of):
+    bounds = "0d as minx", "0d as miny", "1d as maxx", "1d as maxy"
+    boxes = spark.range(0 if of == "boxes" else 2).selectExpr("cast(id as string) as box_id", *bounds)
+    places = spark.range(0 if of == "units" else 2).selectExpr("cast(id as string) as id_wilayah", *bounds)
+    found = geo.bbox_join(boxes, places)
+    assert found.columns == ["box_id", "id_wilayah"] and found.count() == 0
+
+
 def test_lookups_that_grow_with_the_units_are_not_broadcast(spark):
     """Small files may hold much in memory, so their size does not decide."""
     rows = units(spark, [unit("a", "K", "L"), unit("b", "K", "L")])
