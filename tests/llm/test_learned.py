@@ -493,6 +493,23 @@ def test_near_duplicate_stage_finds_pairs_that_share_no_band(spark):
     assert sorted(r.doc_id for r in kept) == list(range(0, len(docs), 2))
 
 
+def test_steps_before_whole_sets_lose_nothing(spark, monkeypatch):
+    """Coarse forms share no less than the sets do, and each shingle of two prefixes is found."""
+    noise = np.random.default_rng(17)
+    tight = [np.unique(noise.integers(0, 2**48, 300).astype(np.uint64)) for _ in range(20)]
+    for one, two in combinations(tight, 2):
+        forms = similar.coarse(one).tolist(), similar.coarse(two).tolist()
+        assert [len(set(f)) for f in forms] == [len(one), len(two)]
+        assert len(set(forms[0]) & set(forms[1])) >= len(np.intersect1d(one, two))
+    assert similar.coarse(np.empty(0, np.uint64)).tolist() == []
+    monkeypatch.setattr(similar, "AT_ONCE", 700)
+    lists = [np.unique(noise.integers(-3000, 3000, noise.integers(0, 40))).tolist() for _ in range(200)]
+    made = spark.createDataFrame([(x,) for x in lists], "prefix array<long>").repartition(3)
+    times = np.unique(np.concatenate(lists), return_counts=True)
+    assert sorted(r.token for r in similar._common(spark, made).collect()) == times[0][times[1] > 1].astype(int).tolist()
+    assert similar._common(spark, made.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("often", [1, 10**9])
 def test_pairs_do_not_depend_on_which_shingles_are_called_frequent(spark, monkeypatch, often):
     """All pairs of texts with a passage in common, by one order of the shingles or another."""
